@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from docweave.llm import chat, mixing, quality, sharding, simhash
+from docweave.llm import chat, html, mixing, quality, sharding, simhash
 
 
 def queries() -> dict:
     return {
         "op1_mixing": mixing.op1_mixing,
         "op3_quality": quality.op3_quality,
+        "op7_html": html.op7_html,
         "op8_chat_format": chat.op8_chat_format,
         "op9_simhash": simhash.op9_simhash,
         "op10_sharding": sharding.op10_sharding,
