@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from docweave.llm import chat, html, mixing, quality, sharding, simhash
+from docweave.llm import chat, html, mixing, quality, sharding, simhash, warc
 
 
 def queries() -> dict:
     return {
         "op1_mixing": mixing.op1_mixing,
+        "op2_warc": warc.op2_warc,
         "op3_quality": quality.op3_quality,
         "op7_html": html.op7_html,
         "op8_chat_format": chat.op8_chat_format,
@@ -19,5 +20,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_mixing": mixing.OP1_SQL,
+        "op2_warc": warc.OP2_SQL,
         "op8_chat_format": chat.OP8_SQL,
     }
