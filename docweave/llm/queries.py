@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docweave.llm import chat, html, mixing, quality, sharding, simhash, warc
+from docweave.llm import chat, html, mixing, orderminhash, quality, sharding, simhash, warc
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_mixing": mixing.op1_mixing,
         "op2_warc": warc.op2_warc,
         "op3_quality": quality.op3_quality,
+        "op4_order_minhash": orderminhash.op4_order_minhash,
         "op7_html": html.op7_html,
         "op8_chat_format": chat.op8_chat_format,
         "op9_simhash": simhash.op9_simhash,
