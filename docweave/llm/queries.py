@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docweave.llm import chat, html, mixing, orderminhash, quality, repeats, sharding, simhash, warc
+from docweave.llm import chat, html, mixing, orderminhash, pieces, quality, repeats, sharding, simhash, warc
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_warc": warc.op2_warc,
         "op3_quality": quality.op3_quality,
         "op4_order_minhash": orderminhash.op4_order_minhash,
+        "op5_sentencepiece": pieces.op5_sentencepiece,
         "op6_repeats": repeats.op6_repeats,
         "op7_html": html.op7_html,
         "op8_chat_format": chat.op8_chat_format,
