@@ -40,12 +40,12 @@ from pyspark.sql import functions as F
 
 from docweave.llm.common import fresh_path, table, text_or_empty, written
 
-WINDOW, PHRASE = 20, 8
+WINDOW, PHRASE = 20, 5
 SPAN = WINDOW - PHRASE + 1
 #: Phrases of an automaton, windows of a shard, and bytes of text that a task holds at a time.
-PHRASES_PER_SHARD, WINDOWS_PER_SHARD, CHUNK_BYTES = 400_000, 1_000_000, 12 << 20
+PHRASES_PER_SHARD, WINDOWS_PER_SHARD, CHUNK_BYTES = 1_500_000, 1_000_000, 6 << 20
 #: Automata that a worker process keeps for its next tasks.
-KEPT_AUTOMATA = 2
+KEPT_AUTOMATA = 1
 #: A null id counts as the greatest.
 LAST = (1 << 63) - 1
 
@@ -74,14 +74,21 @@ class Chunk:
         self.doc, self.place = doc[self.at], inside[self.at]
 
     def windows(self) -> np.ndarray:
-        """A hash of the words of each window."""
+        """A hash of the words of each window: a polynomial, put together from those of 2, 4, 8, ... words."""
         if not len(self.at):
             return np.zeros(0, np.uint64)
-        out, factor = np.zeros(len(self.words) - WINDOW + 1, np.uint64), np.uint64(0x9E3779B97F4A7C15)
+        total, reach = None, 0
+        part, size, factor = self.words, 1, np.uint64(0x9E3779B97F4A7C15)
         with np.errstate(over="ignore"):
-            for k in range(WINDOW):
-                out = out * factor + self.words[k : len(self.words) - WINDOW + 1 + k]
-        return _mix(out[self.at])
+            while True:
+                if WINDOW & size:
+                    n = len(self.words) - reach - size + 1
+                    total = part[:n] if total is None else total[:n] * factor + part[reach : reach + n]
+                    reach += size
+                if reach == WINDOW:
+                    return _mix(total[self.at])
+                part = part[:-size] * factor + part[size:]
+                size, factor = size * 2, factor * factor
 
     def letters(self) -> np.ndarray:
         return (self.words >> np.uint64(56)).astype(np.uint8)
@@ -94,12 +101,16 @@ class Chunk:
         letters, packed = self.letters().astype(np.uint64), np.zeros(n, np.uint64)
         for k in range(PHRASE):
             packed = (packed << np.uint64(8)) | letters[k : n + k]
-        order = _mix(packed)
-        least, where = order[self.at], self.at.copy()
-        for k in range(1, SPAN):
-            now = order[self.at + k]
-            less = now < least
-            least[less], where[less] = now[less], self.at[less] + k
+        least, where = _mix(packed), np.arange(n, dtype=np.int32)
+        # the least of 1, 2, 4, ... places from each place on, the leftmost among equals
+        reach = 1
+        while reach < SPAN:
+            step = min(reach, SPAN - reach)
+            less = least[step:] < least[:-step]
+            least = np.where(less, least[step:], least[:-step])
+            where = np.where(less, where[step:], where[:-step])
+            reach += step
+        where = where[self.at].astype(np.int64)
         return packed, where
 
 
@@ -156,7 +167,8 @@ def compile_automata(phrases: DataFrame, folder: str) -> list[str]:
 
     def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         a = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_STRING)
-        letters = rows["phrase"].to_numpy().astype(">i8").tobytes().decode("latin-1")
+        # a phrase is a number of PHRASE bytes, the letters of its words
+        letters = rows["phrase"].to_numpy().astype(">i8").view(np.uint8).reshape(-1, 8)[:, 8 - PHRASE :].tobytes().decode("latin-1")
         for i in range(0, len(letters), PHRASE):
             a.add_word(letters[i : i + PHRASE])
         a.make_automaton()
@@ -173,6 +185,18 @@ def compile_automata(phrases: DataFrame, folder: str) -> list[str]:
     return sorted(f"{folder}/{r['name']}" for r in built.collect())
 
 
+def _earliest(window: np.ndarray, doc: np.ndarray, place: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+    """Each window once, with its earliest document and place and the sum of n."""
+    if not len(window):
+        return pd.DataFrame({"window": window, "doc_id": doc, "place": place, "n": n})
+    order = np.argsort(window, kind="stable")
+    window, doc, place, n = window[order], doc[order], place[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], window[1:] != window[:-1])))
+    least = np.minimum.reduceat(doc, first)
+    mine = doc == np.repeat(least, np.diff(np.append(first, len(window))))
+    return pd.DataFrame({"window": window[first], "doc_id": least, "place": np.minimum.reduceat(np.where(mine, place, np.iinfo(np.int32).max), first), "n": np.add.reduceat(n.astype(np.int64), first)})
+
+
 def locate(docs: DataFrame, automata: list[str]) -> DataFrame:
     """The windows around recurring phrases: (window, doc_id, place, n), for each chunk of documents every window once, with its earliest place and its number."""
 
@@ -191,13 +215,9 @@ def locate(docs: DataFrame, automata: list[str]) -> DataFrame:
                 found = np.flatnonzero(hit[where])
                 window = chunk.windows()[found]
                 doc, place = rows["doc_id"].to_numpy()[chunk.doc[found]], chunk.place[found]
-                order = np.lexsort((place, doc, window))
-                window, doc, place = window[order], doc[order], place[order]
-                first = np.flatnonzero(np.concatenate(([True], window[1:] != window[:-1]))) if len(window) else np.zeros(0, np.int64)
-                n = np.diff(np.append(first, len(window)))
-                yield pd.DataFrame({"window": window[first].astype(np.int64), "doc_id": doc[first], "place": place[first].astype(np.int32), "n": n.astype(np.int32)})
+                yield _earliest(window.astype(np.int64), doc, place.astype(np.int32), np.ones(len(window), np.int32))
 
-    return docs.mapInPandas(stream, "window long, doc_id long, place int, n int")
+    return docs.mapInPandas(stream, "window long, doc_id long, place int, n long")
 
 
 def earliest(located: DataFrame) -> DataFrame:
@@ -210,12 +230,8 @@ def earliest(located: DataFrame) -> DataFrame:
             return
         rows = pd.concat(held, ignore_index=True)
         held.clear()
-        window, doc, place, n = (rows[c].to_numpy() for c in (*columns, "n"))
-        order = np.lexsort((place, doc, window))
-        window, doc, place, n = window[order], doc[order], place[order], n[order]
-        first = np.flatnonzero(np.concatenate(([True], window[1:] != window[:-1])))
-        again = np.add.reduceat(n.astype(np.int64), first) > 1
-        yield pd.DataFrame({"window": window[first], "doc_id": doc[first], "place": place[first]})[again]
+        found = _earliest(*(rows[c].to_numpy() for c in (*columns, "n")))
+        yield found.loc[found["n"] > 1, columns]
 
     # a partition holds whole windows; a frequent one has a row for each chunk of documents at most
     return located.repartition("window").mapInPandas(gather, "window long, doc_id long, place int")
@@ -245,7 +261,7 @@ def store_windows(windows: DataFrame, folder: str) -> list[tuple[str, int, int]]
 
 def _covered(chunk: Chunk, ids: np.ndarray, shards: list[tuple[str, int, int]]) -> np.ndarray:
     """Which words of a chunk stand in a window that also starts earlier."""
-    mark = np.zeros(len(chunk.words) + 1, np.int32)
+    begins = [np.zeros(0, np.int64)]
     window = chunk.windows().astype(np.int64)
     order = np.argsort(window, kind="stable")
     window = window[order]
@@ -263,10 +279,9 @@ def _covered(chunk: Chunk, ids: np.ndarray, shards: list[tuple[str, int, int]])
         i, o = i[same], order[lo:hi][same]
         doc, place = known["doc_id"].to_numpy()[i], known["place"].to_numpy()[i]
         later = (ids[chunk.doc[o]] != doc) | (chunk.place[o] != place)
-        begin = chunk.at[o[later]]
-        mark[begin] += 1
-        np.subtract.at(mark, begin + WINDOW, 1)
-    return np.cumsum(mark[:-1]) > 0
+        begins.append(chunk.at[o[later]])
+    begin, n = np.concatenate(begins), len(chunk.words) + 1
+    return np.cumsum(np.bincount(begin, minlength=n) - np.bincount(begin + WINDOW, minlength=n))[:-1] > 0
 
 
 def cut_repeats(docs: DataFrame, shards: list[tuple[str, int, int]]) -> DataFrame:
