@@ -121,9 +121,9 @@ KEYS = ["none", "id", "sum"]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text and a key without nulls: whether doc_id is there, doc_id, a hash of the text."""
+    """The text and a key without nulls: whether doc_id is missing, doc_id, a hash of the text."""
     text = text_or_empty("text")
-    return docs.select("doc_id", text.alias("text"), F.when(F.col("doc_id").isNull(), 1).otherwise(0).alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"), F.xxhash64(text).alias("sum"))
+    return docs.select(text.alias("text"), F.when(F.col("doc_id").isNull(), 1).otherwise(0).alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"), F.xxhash64(text).alias("sum"))
 
 
 def printed(docs: DataFrame) -> DataFrame:
@@ -146,13 +146,14 @@ def edit_with_next(docs: DataFrame) -> DataFrame:
     one = rows.select(*KEYS, F.length("text").alias("n_chars"), fingerprint(F.col("text")).alias("fingerprint")).dropDuplicates(KEYS)
     chain = written(successors(one, KEYS, ["n_chars", "fingerprint"]), "chain")
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    # texts are dealt out by their keys, as themselves and as what they lend to the document before them
+    # texts are dealt out by their keys once, as themselves and as what they lend to the document before them:
+    # both joins take the same columns, so they share one exchange
     asked = chain.select(*[F.col(f"next_{k}").alias(k) for k in KEYS], *[F.col(k).alias(f"for_{k}") for k in KEYS], quarter.alias("take"))
-    lent = rows.select(*KEYS, "text").join(asked, KEYS).select(*[F.col(f"for_{k}").alias(k) for k in KEYS], F.left("text", F.col("take")).alias("lent"))
+    lent = rows.join(asked, KEYS).select(*[F.col(f"for_{k}").alias(k) for k in KEYS], F.left("text", F.col("take")).alias("lent"))
     # rows that repeat a document lend the same text
     lent = lent.groupBy(*KEYS).agg(F.first("lent").alias("lent"))
     both = rows.join(chain, KEYS).join(lent, KEYS)
-    return both.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"), "fingerprint", F.concat(F.left("text", F.col("n_chars") - quarter), "lent").alias("edited"), "next_fingerprint")
+    return both.select(F.when(F.col("none") == 0, F.col("id")).alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), "fingerprint", F.concat(F.left("text", F.col("n_chars") - quarter), "lent").alias("edited"), "next_fingerprint")
 
 
 def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
