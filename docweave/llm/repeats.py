@@ -38,12 +38,12 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm.common import fresh_path, table, text_or_empty, written
+from docweave.llm.common import WHITE, WHITE_RUN, fresh_path, table, text_or_empty, written
 
 WINDOW, PHRASE = 20, 5
 SPAN = WINDOW - PHRASE + 1
 #: Phrases of an automaton, windows of a shard, and bytes of text that a task holds at a time.
-PHRASES_PER_SHARD, WINDOWS_PER_SHARD, CHUNK_BYTES = 1_500_000, 1_000_000, 6 << 20
+PHRASES_PER_SHARD, WINDOWS_PER_SHARD, CHUNK_BYTES = 1_500_000, 1_000_000, 4 << 20
 #: Automata that a worker process keeps for its next tasks.
 KEPT_AUTOMATA = 1
 #: A null id counts as the greatest.
@@ -284,8 +284,22 @@ def _covered(chunk: Chunk, ids: np.ndarray, shards: list[tuple[str, int, int]])
     return np.cumsum(np.bincount(begin, minlength=n) - np.bincount(begin + WINDOW, minlength=n))[:-1] > 0
 
 
+def _without(text: str, gone: list[bool]) -> str:
+    """A text without the marked words: its lines, with single spaces in lines that lose words, and without lines that lose all."""
+    lines, at = [], 0
+    for line in text.encode().split(b"\n"):
+        ws = line.split()
+        out = gone[at : at + len(ws)]
+        at += len(ws)
+        if not any(out):
+            lines.append(line)
+        elif not all(out):
+            lines.append(b" ".join(w for w, g in zip(ws, out) if not g))
+    return b"\n".join(lines).decode()
+
+
 def cut_repeats(docs: DataFrame, shards: list[tuple[str, int, int]]) -> DataFrame:
-    """docs (doc_id, text, further columns) with `kept` (array of the words that stay), n_words and n_removed."""
+    """docs (doc_id, text, further columns) with `kept` (the text of the words that stay) in place of text, n_words and n_removed."""
     names = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text"]
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -295,19 +309,21 @@ def cut_repeats(docs: DataFrame, shards: list[tuple[str, int, int]]) -> DataFram
                 texts = rows["text"].tolist()
                 chunk = Chunk(texts)
                 gone = _covered(chunk, rows["_order"].to_numpy(), shards)
-                kept, removed = [], np.zeros(len(texts), np.int64)
-                for i, (t, s, n) in enumerate(zip(texts, chunk.starts.tolist(), chunk.sizes.tolist())):
-                    out = gone[s : s + n]
-                    removed[i] = out.sum()
-                    ws = t.encode().split()
-                    kept.append(b" ".join(ws if not removed[i] else [w for w, g in zip(ws, out.tolist()) if not g]).decode())
+                total = np.concatenate(([0], np.cumsum(gone)))
+                removed = total[chunk.starts + chunk.sizes] - total[chunk.starts]
+                kept = [
+                    t if not r else _without(t, gone[s : s + n].tolist()) for t, r, s, n in zip(texts, removed.tolist(), chunk.starts.tolist(), chunk.sizes.tolist())
+                ]
                 yield rows.drop(columns=["text"]).assign(kept=kept, n_words=chunk.sizes, n_removed=removed)
 
     return docs.mapInPandas(cut, f"{', '.join(names)}, kept string, n_words long, n_removed long")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text, further columns) -> all columns but text, with `kept` (the words that stay, joined by one space), n_words, n_removed.
+    """docs (doc_id, text, further columns) -> all columns but text, with `kept` (the text of the words that stay), n_words, n_removed.
+
+    A text that loses nothing stays as it is; in others, lines that lose words
+    have single spaces, and lines that lose all their words go.
 
     The order of documents is that of doc_id, null last. Rows of one id are
     one document for that order: of equal windows at the same place of such
@@ -327,6 +343,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents with the number of removed words and a digest of the others."""
+    """All documents with the number of removed words and a digest of the others, joined by single spaces."""
     done = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    joined = F.regexp_replace(F.btrim("kept", F.lit(WHITE)), WHITE_RUN, " ")
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(joined, 256).alias("kept_sha256"))
