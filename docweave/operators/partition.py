@@ -70,9 +70,18 @@ def range_ordinal(bounds: Bounds) -> Column:
     return F.when(c.isNotNull(), out)
 
 
-def partitioned(df: DataFrame, bounds: Bounds) -> DataFrame:
-    """df without rows whose column is null, in as many partitions as there are ranges: each is a filtered scan of its own, so nothing is shuffled and Parquet statistics skip what lies outside."""
-    parts = [df.where(c).coalesce(1) for c in range_conditions(bounds)]
+def partitioned(df: DataFrame, bounds: Bounds, exact: bool = False) -> DataFrame:
+    """df without rows whose column is null, by ranges.
+
+    Each range is a filtered scan of its own with the tasks that its files
+    need: nothing is shuffled, and Parquet statistics skip what lies outside.
+    `exact` gives just one partition per range instead, at the price of a
+    shuffle.
+    """
+    if exact:
+        n = len(range_conditions(bounds))
+        return df.where(F.col(bounds.column).isNotNull()).repartitionById(n, range_ordinal(bounds))
+    parts = [df.where(c) for c in range_conditions(bounds)]
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)

@@ -100,12 +100,12 @@ def _check_frame(kind: Profile, options: ReadOptions) -> None:
         raise ValueError(f"The {kind.name} profile has no CAS column")
 
 
-def read_collection(collection: Collection, kind: str = "query", schema: T.StructType | str | None = None, **values) -> DataFrame:
+def read_collection(source: Collection, kind: str = "query", schema: T.StructType | str | None = None, **values) -> DataFrame:
     """A scan of stored documents. Without a schema it is inferred from the first inferLimit documents that the filter lets through."""
     p, options = profile(kind), ReadOptions(values)
     _check_frame(p, options)
     id_field, cas_field = options.get("idFieldName", ID_FIELD), options.get("casFieldName", CAS_FIELD)
-    state = collection.state()
+    state = source.state()
     text, limit = options.get("filter"), int(options.get("inferLimit", INFER_LIMIT))
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
