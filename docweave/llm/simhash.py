@@ -177,7 +177,7 @@ def links(nodes: DataFrame, budget: int = 4) -> DataFrame:
     Each task gives a spanning forest of its links, so dense groups give no
     more edges than they have members.
     """
-    blocks = F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(F.shiftleft("fp", s), BITS - w).cast("int").alias("top")) for i, (s, w) in enumerate(_blocks(budget))])
+    blocks = F.array(*[F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(F.shiftleft("fp", s), BITS - w).alias("top")) for i, (s, w) in enumerate(_blocks(budget))])
     spread = nodes.select("fp", F.explode(blocks).alias("x")).select("fp", "x.block", "x.top")
     # subtrees that are too large for a task: as few as PIECE allows
     large = spread.groupBy("block", "top").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PIECE).withColumn("pieces", F.ceil(F.col("n") / PIECE).cast("int"))
