@@ -225,3 +225,70 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with fingerprint and component."""
     found = near_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+#: Near copies: the word shingles whose Jaccard index decides, and its least value.
+COPY_SHINGLE, COPY_LEAST = 5, 0.8
+#: Candidates for near copies: the shingle of the fingerprints, and their budget. Changed words
+#: disturb fewer short shingles, so short ones bring near copies within a budget that the tries can prune.
+CANDIDATE_SHINGLE, CANDIDATE_BUDGET = 2, 8
+ROUNDS = 2
+
+
+def shingle_set(text: str, shingle: int) -> set[bytes]:
+    ws = text.encode().lower().split()
+    return {b" ".join(ws[i : i + shingle]) for i in range(max(1, len(ws) - shingle + 1))} if ws else set()
+
+
+def _verified(pairs: DataFrame, shingle: int, least: float) -> DataFrame:
+    """pairs (further columns, _text, _first) plus `_copy`: whether the Jaccard index of the texts' shingles is at least `least`, and `_same`: whether they are equal."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema.fields if f.name != "_first")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first, known = None, set()
+        for b in batches:
+            out, same = [], (b["_text"] == b["_first"]).tolist()
+            for text, other in zip(b["_text"], b["_first"]):
+                if other != first:
+                    first, known = other, shingle_set(other, shingle)
+                mine = known if text == other else shingle_set(text, shingle)
+                both = len(mine & known)
+                out.append(text == other or both >= least * (len(mine) + len(known) - both))
+            yield b.drop(columns=["_first"]).assign(_copy=out, _same=same)
+
+    return pairs.mapInPandas(compare, f"{fields}, _copy boolean, _same boolean")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = COPY_SHINGLE, least: float = COPY_LEAST) -> DataFrame:
+    """docs without near copies: of each group one document stays.
+
+    Fingerprints propose groups. In each, the document of least id (null last,
+    then by text) stays, and those whose word shingles have a Jaccard index of
+    `least` or more with its shingles go, after an exact comparison. The rest
+    of the group is treated once more in the same way; what is then like
+    neither document stays. So every document that goes has a near copy that
+    stays. Documents alone in their group are not compared. Rows that repeat a
+    document stay once. Null texts are empty and equal to each other.
+    """
+    rows = docs.withColumn("_key", F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))).withColumn("_text", text_or_empty(text_col))
+    groups = written(near_groups(rows.select("_key", "_text"), CANDIDATE_SHINGLE, CANDIDATE_BUDGET, "_key", "_text").select(F.col("doc_id").alias("_key"), F.col("component_id").alias("_group")), "groups")
+    several = groups.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_group")
+    # ids are distinct here, so that rows which share an id aren't multiplied; such rows share their groups
+    members = groups.join(several, "_group").groupBy("_key").agg(F.min("_group").alias("_group"))
+    placed = rows.join(members, "_key", "left")
+    alone = placed.where("_group is null").select(*docs.columns)
+    open_ = written(placed.where("_group is not null"), "members")
+    kept = []
+    for turn in range(ROUNDS):
+        first = open_.groupBy("_group").agg(F.min(F.struct("_key", "_text")).alias("_f"))
+        met = open_.join(first, "_group").select(*open_.columns, F.col("_f._key").alias("_first_key"), F.col("_f._text").alias("_first"))
+        compared = written(_verified(met, shingle, least), f"compared-{turn}")
+        # the least document itself: rows that repeat it are one
+        mine = (F.col("_key") == F.col("_first_key")) & F.col("_same")
+        kept.append(compared.where(mine).select("_group", *docs.columns).dropDuplicates(["_group"]).select(*docs.columns))
+        open_ = compared.where(~F.col("_copy")).drop("_copy", "_same", "_first_key")
+    kept.append(open_.select(*docs.columns))
+    out = alone
+    for k in kept:
+        out = out.unionByName(k)
+    return out
