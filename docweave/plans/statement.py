@@ -16,6 +16,15 @@ class Unsupported(ValueError):
     """A statement that this engine doesn't run."""
 
 
+def _plain(name: str) -> str:
+    return ".".join(p.strip().strip("`") for p in re.split(r"\.(?=(?:[^`]*`[^`]*`)*[^`]*$)", name))
+
+
+def names(text: str) -> list[str]:
+    """The collection names that a statement reads, each once."""
+    return list(dict.fromkeys(_plain(m["name"]) for m in _NAME.finditer(text) if m["quoted"] is None))
+
+
 def translate(text: str, names: dict[str, str], id_field: str = ID_FIELD, cas_field: str = CAS_FIELD) -> str:
     """A SELECT as Spark SQL. names: collection names, as they are written, to views."""
     stripped = text.strip().rstrip(";")
@@ -28,8 +37,7 @@ def translate(text: str, names: dict[str, str], id_field: str = ID_FIELD, cas_fi
     def view(m: re.Match) -> str:
         if m["quoted"] is not None:
             return m[0]
-        plain = ".".join(p.strip().strip("`") for p in re.split(r"\.(?=(?:[^`]*`[^`]*`)*[^`]*$)", m["name"]))
-        found = names.get(plain)
+        found = names.get(_plain(m["name"]))
         return f"{m['lead']}`{found}`" if found else m[0]
 
     return _NAME.sub(view, rewrite(stripped, id_field, cas_field))
