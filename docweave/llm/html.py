@@ -42,6 +42,8 @@ NAMES = re.compile(
     r"nav|navbar|navigation|menu|breadcrumbs?|sidebar|aside|widget|masthead|header|footer|topbar|toolbar|copyright|"
     r"comments?|commentlist|disqus|replies|respond|related|recommend\w*|share|sharing|social|newsletter|subscri\w*|signup|login|search|pagination|pager|skip)(?=$|[\s_-])"
 )
+#: Of these, the ones that hold lists of other people's or other pages' texts.
+LISTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|respond|related|recommend\w*)(?=$|[\s_-])")
 #: An open element of the key ends where one of the values begins.
 ENDED_BY = {
     "li": frozenset(["li"]),
@@ -67,13 +69,14 @@ WHITE = re.compile(r"\s+")
 class Node:
     __slots__ = ("tag", "depth", "parent", "parts", "skip", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, skip: bool):
+    def __init__(self, tag: str, parent: Node | None, skip: bool | str):
         self.tag, self.parent, self.skip = tag, parent, skip
         self.depth = parent.depth + 1 if parent is not None else 0
         self.parts: list[Node | str] = []
 
 
-def _skipped(tag: str, attributes: str) -> bool:
+def _skipped(tag: str, attributes: str) -> bool | str:
+    """Whether an element is no article text; "name" if only a class or id name says so."""
     if tag in NEVER:
         return True
     if not attributes or tag in ("html", "body"):
@@ -82,8 +85,10 @@ def _skipped(tag: str, attributes: str) -> bool:
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
             return True
-        if name == "role" and value in ROLES or name in ("class", "id") and tag != "main" and NAMES.search(value):
+        if name == "role" and value in ROLES:
             return True
+        if name in ("class", "id") and tag != "main" and NAMES.search(value):
+            return True if LISTS.search(value) else "name"
     return False
 
 
@@ -112,6 +117,13 @@ def parse(html: str) -> Node:
             continue
         node = _imply_ends(node, tag)
         new = Node(tag, node, _skipped(tag, m[3]))
+        if tag in ("article", "main") and not new.skip:
+            # a wrapper's name, such as with-sidebar, counts less than the article in it
+            up: Node | None = node
+            while up is not None:
+                if up.skip == "name":
+                    up.skip = False
+                up = up.parent
         node.parts.append(new)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(html, at)

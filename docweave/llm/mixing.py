@@ -66,9 +66,11 @@ def queue(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPO
 
     The shuffle of a source is the order of md5(doc_id, seed), then size; the
     running sum over a source goes by ranges of that hash, so a source with a
-    third of all rows is spread over as many tasks.
+    third of all rows is spread over as many tasks. Columns of the names above
+    give way.
     """
     ranges = ranges or ranges_for(docs.count())
+    docs = docs.drop("source_size", "target", "epoch", "finish", "tie")
     key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(str(seed))).cast("binary"))
     # the first 8 hexadecimal digits of the hash, cut into ranges in its order
     at = F.floor(F.conv(F.substring(key, 1, 8), 16, 10).cast("long") * F.lit(ranges) / F.lit(1 << 32)).cast("int")

@@ -24,5 +24,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_mixing": mixing.OP1_SQL,
         "op2_warc": warc.OP2_SQL,
+        "op6_repeats": repeats.OP6_SQL,
         "op8_chat_format": chat.OP8_SQL,
     }

@@ -347,3 +347,24 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     joined = F.regexp_replace(F.btrim("kept", F.lit(WHITE)), WHITE_RUN, " ")
     return done.select("doc_id", "n_words", "n_removed", F.sha2(joined, 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT rid, doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS k
+  FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)
+), f AS (
+  SELECT rid, i, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS LAST, i) AS n FROM g
+), gone AS (
+  SELECT DISTINCT rid, i + o AS j FROM f, (SELECT unnest(range(0, 20)) AS o) WHERE n > 1
+), words AS (
+  SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d
+), s AS (
+  SELECT words.rid, count(gone.j) AS n_removed, string_agg(CASE WHEN gone.j IS NULL THEN word END, ' ' ORDER BY words.j) AS kept
+  FROM words LEFT JOIN gone ON words.rid = gone.rid AND words.j = gone.j GROUP BY words.rid
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(s.n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(s.kept, '')) AS kept_sha256
+FROM d LEFT JOIN s ON d.rid = s.rid
+"""

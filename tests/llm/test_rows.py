@@ -180,6 +180,8 @@ PAGES = [
     ("<article><p>a<br>b \n\t c&nbsp;&nbsp;d&#x41;</article><script>var t='<p>no</p>'</script>", "a b c dA"),
     ("<article></article>", ""),
     ("<!-- <article><p>no</p></article> --><article><p>yes</p></article>", "yes"),
+    ("<div class='layout with-sidebar'><article><p>kept</p></article><div class=sidebar>no</div></div>", "kept"),
+    ("<article><p>kept</p></article><div id=comments><article><p>a comment</p></article></div>", "kept"),
     ("", ""),
     (None, ""),
 ]
