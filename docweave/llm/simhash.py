@@ -30,9 +30,9 @@ SEED = 42
 PIECE = 20_000
 #: Rows of complete subtrees that are traversed at once, node pairs on one
 #: stack entry, and fingerprint pairs that are compared at once.
-CHUNK, FRONTIER, COMPARE = 100_000, 500_000, 4_000_000
+CHUNK, FRONTIER, COMPARE = 50_000, 200_000, 500_000
 #: Node pairs with at most so many fingerprint pairs are compared directly.
-LEAF = 64
+LEAF = 4096
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -121,21 +121,28 @@ class Trie:
             if keep.any():
                 stack.append((depth + 1, *(x[keep] for x in (a0, a1, b0, b1, diff))))
 
-    def _compare(self, a0, a1, b0, b1, budget):
-        sizes = (a1 - a0) * (b1 - b0)
+    def _compare(self, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs within the budget of the rows [a0, a1) with the rows [b0, b1); of a node with itself each pair once."""
+        row = _ranges(a0, a1 - a0)
+        same, low, high = (np.repeat(x, a1 - a0) for x in (a0 == b0, b0, b1))
+        low = np.where(same, row + 1, low)
+        wide = high - low
+        through = np.cumsum(wide)
         at = 0
-        through = np.cumsum(sizes)
-        while at < len(sizes):
+        while at < len(row):
             upto = max(at + 1, int(np.searchsorted(through, (through[at - 1] if at else 0) + COMPARE, "right")))
-            n, wide, total = sizes[at:upto], (b1 - b0)[at:upto], int(sizes[at:upto].sum())
-            k = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
-            wide = np.repeat(wide, n)
-            i, j = np.repeat(a0[at:upto], n) + k // wide, np.repeat(b0[at:upto], n) + k % wide
-            near = (i != j) & (np.bitwise_count(self.values[i] ^ self.values[j]) <= budget)
+            n = wide[at:upto]
+            i, j = np.repeat(row[at:upto], n), _ranges(low[at:upto], n)
+            near = np.bitwise_count(self.values[i] ^ self.values[j]) <= budget
             yield i[near], j[near]
             at = upto
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each range, one range after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
 def _merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """label (each row's root, roots are their own) after joining rows i and j."""
     while True:
