@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 #: Rows that one range should hold, and the most ranges there may be. With
 #: more than ROWS_PER_RANGE * MOST_RANGES rows, the ranges grow instead.
-ROWS_PER_RANGE = 50_000
+ROWS_PER_RANGE = 4_000
 MOST_RANGES = 1 << 16
 
 
