@@ -23,6 +23,9 @@ with (documents x shards) once there are many shards.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import io
 import pickle
 import uuid
 from collections import OrderedDict
@@ -32,6 +35,7 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 import xxhash
 from pyarrow import fs
@@ -114,16 +118,23 @@ class Chunk:
         return packed, where
 
 
-def _slices(texts: pd.Series) -> Iterator[slice]:
-    """Runs of rows with about CHUNK_BYTES of text each."""
-    begin, held = 0, 0
-    for i, n in enumerate(texts.str.len().to_numpy()):
-        if held and held + n > CHUNK_BYTES:
-            yield slice(begin, i)
-            begin, held = i, 0
-        held += n
-    if begin < len(texts):
-        yield slice(begin, len(texts))
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about CHUNK_BYTES of text each; a longer text is a run of its own. Only a run's texts become Python strings."""
+    through = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False))
+    begin = 0
+    while begin < batch.num_rows:
+        held = through[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(through, held + CHUNK_BYTES, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
+def _give_back(automata: bool = True) -> None:
+    """Drops the automata, if they aren't needed again soon, and hands freed memory back to the system, where the C library can: workers wait for their next task with what they hold."""
+    if automata:
+        _automata.clear()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def _open(path: str):
@@ -142,21 +153,23 @@ def _automaton(path: str) -> ahocorasick.Automaton:
         _automata.popitem(last=False)
     where, name = _open(path)
     with where.open_input_file(name) as f:
-        _automata[path] = pickle.loads(f.read())
+        # read in parts: the file and the automaton aren't held whole at once more often than needed
+        _automata[path] = pickle.load(io.BufferedReader(f, 1 << 20))
     return _automata[path]
 
 
 def count_phrases(docs: DataFrame) -> DataFrame:
     """The phrases of all windows that occur twice or more, as numbers."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part in _slices(b["text"]):
-                packed, where = Chunk(b["text"].iloc[part].tolist()).phrases()
+            for part in _slices(b):
+                packed, where = Chunk(part["text"].to_pylist()).phrases()
                 value, n = np.unique(packed[np.unique(where)], return_counts=True)
-                yield pd.DataFrame({"phrase": value.astype(np.int64), "n": n})
+                yield pa.RecordBatch.from_pydict({"phrase": value.astype(np.int64), "n": n.astype(np.int64)})
+        _give_back()
 
-    return docs.select("text").mapInPandas(count, "phrase long, n long").groupBy("phrase").agg(F.sum("n").alias("n")).where("n > 1").select("phrase")
+    return docs.select("text").mapInArrow(count, "phrase long, n long").groupBy("phrase").agg(F.sum("n").alias("n")).where("n > 1").select("phrase")
 
 
 def compile_automata(phrases: DataFrame, folder: str) -> list[str]:
@@ -176,8 +189,12 @@ def compile_automata(phrases: DataFrame, folder: str) -> list[str]:
         where.create_dir(root, recursive=True)
         # a repeated task writes another file; only the file of the task that counts is reported
         name = f"shard-{key[0]}-{uuid.uuid4().hex}"
+        data = pickle.dumps(a)
+        a.clear()
         with where.open_output_stream(f"{root}/{name}", compression=None) as f:
-            f.write(pickle.dumps(a))
+            f.write(data)
+        del data
+        _give_back()
         return pd.DataFrame({"name": [name]})
 
     dealt = phrases.withColumn("shard", F.pmod(F.xxhash64("phrase"), F.lit(shards)).cast("int"))
@@ -185,26 +202,26 @@ def compile_automata(phrases: DataFrame, folder: str) -> list[str]:
     return sorted(f"{folder}/{r['name']}" for r in built.collect())
 
 
-def _earliest(window: np.ndarray, doc: np.ndarray, place: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+def _earliest(window: np.ndarray, doc: np.ndarray, place: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
     """Each window once, with its earliest document and place and the sum of n."""
     if not len(window):
-        return pd.DataFrame({"window": window, "doc_id": doc, "place": place, "n": n})
+        return {"window": window, "doc_id": doc, "place": place, "n": n}
     order = np.argsort(window, kind="stable")
     window, doc, place, n = window[order], doc[order], place[order], n[order]
     first = np.flatnonzero(np.concatenate(([True], window[1:] != window[:-1])))
     least = np.minimum.reduceat(doc, first)
     mine = doc == np.repeat(least, np.diff(np.append(first, len(window))))
-    return pd.DataFrame({"window": window[first], "doc_id": least, "place": np.minimum.reduceat(np.where(mine, place, np.iinfo(np.int32).max), first), "n": np.add.reduceat(n.astype(np.int64), first)})
+    place = np.minimum.reduceat(np.where(mine, place, np.iinfo(np.int32).max), first).astype(np.int32)
+    return {"window": window[first], "doc_id": least, "place": place, "n": np.add.reduceat(n, first)}
 
 
 def locate(docs: DataFrame, automata: list[str]) -> DataFrame:
     """The windows around recurring phrases: (window, doc_id, place, n), for each chunk of documents every window once, with its earliest place and its number."""
 
-    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part in _slices(b["text"]):
-                rows = b.iloc[part]
-                chunk = Chunk(rows["text"].tolist())
+            for part in _slices(b):
+                chunk = Chunk(part["text"].to_pylist())
                 _, where = chunk.phrases()
                 if not len(where):
                     continue
@@ -214,27 +231,32 @@ def locate(docs: DataFrame, automata: list[str]) -> DataFrame:
                     hit[ends - (PHRASE - 1)] = True
                 found = np.flatnonzero(hit[where])
                 window = chunk.windows()[found]
-                doc, place = rows["doc_id"].to_numpy()[chunk.doc[found]], chunk.place[found]
-                yield _earliest(window.astype(np.int64), doc, place.astype(np.int32), np.ones(len(window), np.int32))
+                doc, place = part["doc_id"].to_numpy()[chunk.doc[found]], chunk.place[found]
+                yield pa.RecordBatch.from_pydict(_earliest(window.astype(np.int64), doc, place.astype(np.int32), np.ones(len(window), np.int64)))
+        _give_back(automata=False)
 
-    return docs.mapInPandas(stream, "window long, doc_id long, place int, n long")
+    return docs.select("doc_id", "text").mapInArrow(stream, "window long, doc_id long, place int, n long")
 
 
 def earliest(located: DataFrame) -> DataFrame:
     """Of the located windows those that occur twice or more: (window, doc_id, place) of the earliest occurrence."""
     columns = ["window", "doc_id", "place"]
 
-    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = [b for b in batches if len(b)]
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _give_back()
+        held = [b for b in batches if b.num_rows]
         if not held:
             return
-        rows = pd.concat(held, ignore_index=True)
+        rows = pa.Table.from_batches(held)
         held.clear()
         found = _earliest(*(rows[c].to_numpy() for c in (*columns, "n")))
-        yield found.loc[found["n"] > 1, columns]
+        again = found["n"] > 1
+        yield pa.RecordBatch.from_pydict({c: found[c][again] for c in columns})
+        del rows, found
+        _give_back()
 
     # a partition holds whole windows; a frequent one has a row for each chunk of documents at most
-    return located.repartition("window").mapInPandas(gather, "window long, doc_id long, place int")
+    return located.repartition("window").mapInArrow(gather, "window long, doc_id long, place int")
 
 
 def store_windows(windows: DataFrame, folder: str) -> list[tuple[str, int, int]]:
@@ -243,6 +265,7 @@ def store_windows(windows: DataFrame, folder: str) -> list[tuple[str, int, int]]
     ordered = windows.repartitionByRange(shards, "window").sortWithinPartitions("window")
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _give_back()
         held = [b for b in batches if b.num_rows]
         if not held:
             return
@@ -302,21 +325,23 @@ def cut_repeats(docs: DataFrame, shards: list[tuple[str, int, int]]) -> DataFram
     """docs (doc_id, text, further columns) with `kept` (the text of the words that stay) in place of text, n_words and n_removed."""
     names = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text"]
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _give_back()
         for b in batches:
-            for part in _slices(b["text"]):
-                rows = b.iloc[part]
-                texts = rows["text"].tolist()
+            for part in _slices(b):
+                texts = part["text"].to_pylist()
                 chunk = Chunk(texts)
-                gone = _covered(chunk, rows["_order"].to_numpy(), shards)
+                gone = _covered(chunk, part["_order"].to_numpy(), shards)
                 total = np.concatenate(([0], np.cumsum(gone)))
                 removed = total[chunk.starts + chunk.sizes] - total[chunk.starts]
                 kept = [
                     t if not r else _without(t, gone[s : s + n].tolist()) for t, r, s, n in zip(texts, removed.tolist(), chunk.starts.tolist(), chunk.sizes.tolist())
                 ]
-                yield rows.drop(columns=["text"]).assign(kept=kept, n_words=chunk.sizes, n_removed=removed)
+                others = [c for c in part.schema.names if c != "text"]
+                yield pa.RecordBatch.from_arrays([*[part[c] for c in others], pa.array(kept, pa.string()), pa.array(chunk.sizes), pa.array(removed)], [*others, "kept", "n_words", "n_removed"])
+        _give_back()
 
-    return docs.mapInPandas(cut, f"{', '.join(names)}, kept string, n_words long, n_removed long")
+    return docs.mapInArrow(cut, f"{', '.join(names)}, kept string, n_words long, n_removed long")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
