@@ -17,8 +17,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docweave.llm.common import table, text_or_empty, written
@@ -239,7 +240,12 @@ COPY_SHINGLE, COPY_LEAST = 5, 0.8
 #: Candidates for near copies: the shingle of the fingerprints, and their budget. Changed words
 #: disturb fewer short shingles, so short ones bring near copies within a budget that the tries can prune.
 CANDIDATE_SHINGLE, CANDIDATE_BUDGET = 2, 8
+#: Rounds with one document a group, which settle most groups. What they leave goes in batches of each group's
+#: first documents, BATCH and then twice as many each time, up to BATCH_MOST documents and about BATCH_CHARS characters.
 ROUNDS = 2
+BATCH, BATCH_MOST, BATCH_CHARS = 64, 512, 4_000_000
+#: Documents of a group that one task compares with a batch.
+COPY_PIECE = 2_000
 
 
 def shingle_set(text: str, shingle: int) -> set[bytes]:
@@ -266,16 +272,85 @@ def _verified(pairs: DataFrame, shingle: int, least: float) -> DataFrame:
     return pairs.mapInPandas(compare, f"{fields}, _copy boolean, _same boolean")
 
 
+def _unlike(rows: DataFrame, keys: list[str], shingle: int, least: float) -> DataFrame:
+    """rows (further columns, _text, _step) plus `_unlike`: whether a row has no near copy among those of its keys that stay.
+
+    Rows of the same keys stand together, and stay: those of `_step` 0 in any
+    case, those of `_step` 1 if they are unlike the earlier ones, no others.
+    """
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, texts, sets = None, set(), []
+
+        def like(text: str, mine: set[bytes]) -> bool:
+            if text in texts:
+                return True
+            n = len(mine)
+            for known in sets:
+                k = len(known)
+                # sets whose sizes differ too much needn't be met
+                if min(n, k) >= least * max(n, k):
+                    both = len(mine & known)
+                    if both >= least * (n + k - both):
+                        return True
+            return False
+
+        for b in batches:
+            out = []
+            for text, step, *key in zip(*(b[c].to_pylist() for c in ("_text", "_step", *keys))):
+                if key != now:
+                    now, texts, sets = key, set(), []
+                mine = set() if text in texts else shingle_set(text, shingle)
+                out.append(step == 0 or not like(text, mine))
+                if out[-1] and step < 2 and text not in texts:
+                    texts.add(text)
+                    sets.append(mine)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.bool_())], [*b.schema.names, "_unlike"])
+
+    return rows.mapInArrow(compare, f"{fields}, _unlike boolean")
+
+
+def _settle(open_: DataFrame, shingle: int, least: float) -> list[DataFrame]:
+    """Of open_ (_group, _key, _text, further columns) the rows that stay, until no row is open.
+
+    Each round settles the first rows of each group one after the other, then
+    drops the near copies of those that stay from the group's rest.
+    """
+    columns, order = open_.columns, Window.partitionBy("_group").orderBy("_key", "_text")
+    kept, size = [], BATCH
+    while not open_.isEmpty():
+        before = F.sum(F.length("_text")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+        first = open_.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= size)
+        first = first.withColumn("_before", F.coalesce(before, F.lit(0))).where(F.col("_before") < BATCH_CHARS)
+        batch = first.sortWithinPartitions("_group", "_key", "_text").select(*columns, F.lit(1).alias("_step"))
+        settled = written(_unlike(batch, ["_group"], shingle, least), "settled")
+        kept.append(settled.where("_unlike"))
+        taken = settled.groupBy("_group").agg(F.count(F.lit(1)).alias("_taken"))
+        every = open_.groupBy("_group").agg(F.count(F.lit(1)).alias("_all"))
+        more = written(every.join(taken, "_group").where("_all > _taken").select("_group", F.ceil(F.col("_all") / COPY_PIECE).cast("int").alias("_pieces")), "unsettled")
+        if more.isEmpty():
+            break
+        # the batch's own rows go as well: each is, or is like, one that stays
+        rest = open_.join(more, "_group").select(*columns, F.lit(2).alias("_step"), F.pmod(F.xxhash64("_key", "_text"), F.col("_pieces")).cast("int").alias("_piece"))
+        stay = kept[-1].join(more, "_group").select(*columns, F.lit(0).alias("_step"), F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)).alias("_piece"))
+        met = rest.unionByName(stay).repartition("_group", "_piece").sortWithinPartitions("_group", "_piece", "_step")
+        open_ = written(_unlike(met, ["_group", "_piece"], shingle, least).where("_step = 2 and _unlike").select(*columns), "open")
+        size = min(2 * size, BATCH_MOST)
+    return kept
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = COPY_SHINGLE, least: float = COPY_LEAST) -> DataFrame:
     """docs without near copies: of each group one document stays.
 
     Fingerprints propose groups. In each, the document of least id (null last,
     then by text) stays, and those whose word shingles have a Jaccard index of
     `least` or more with its shingles go, after an exact comparison. The rest
-    of the group is treated once more in the same way; what is then like
-    neither document stays. So every document that goes has a near copy that
-    stays. Documents alone in their group are not compared. Rows that repeat a
-    document stay once. Null texts are empty and equal to each other.
+    of the group is treated in the same way until none is left. So every
+    document that goes has a near copy that stays, and no two that stay in a
+    group are near copies. Documents alone in their group are not compared.
+    Rows that repeat a document stay once. Null texts are empty and equal to
+    each other.
     """
     rows = docs.withColumn("_key", F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))).withColumn("_text", text_or_empty(text_col))
     groups = written(near_groups(rows.select("_key", "_text"), CANDIDATE_SHINGLE, CANDIDATE_BUDGET, "_key", "_text").select(F.col("doc_id").alias("_key"), F.col("component_id").alias("_group")), "groups")
@@ -294,7 +369,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         mine = (F.col("_key") == F.col("_first_key")) & F.col("_same")
         kept.append(compared.where(mine).select("_group", *docs.columns).dropDuplicates(["_group"]).select(*docs.columns))
         open_ = compared.where(~F.col("_copy")).drop("_copy", "_same", "_first_key")
-    kept.append(open_.select(*docs.columns))
+    kept += [k.select(*docs.columns) for k in _settle(open_, shingle, least)]
     out = alone
     for k in kept:
         out = out.unionByName(k)

@@ -157,6 +157,32 @@ def test_near_copies_go_and_others_stay(spark):
     assert 0 in near and len(near) <= 3
 
 
+@pytest.mark.parametrize("n, changes, batch, chars, piece", [(150, 5, 64, 4_000_000, 2000), (150, 5, 4, 20_000, 20)])
+def test_near_copies_of_many_families(spark, monkeypatch, n, changes, batch, chars, piece):
+    """Copies edited independently against a greedy choice that goes on until none is open."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(5000)}" for _ in range(400)]
+    rows = []
+    for i in range(n):
+        ws = list(base)
+        for _ in range(changes * (1 + (i % 10 == 0))):
+            ws[rng.randrange(400)] = f"x{rng.random()}"
+        rows.append((i, " ".join(ws)))
+    rows += [(n + i, rows[7 * i][1]) for i in range(n // 7)]
+    members, want = {}, []
+    for (d, t), (_, c) in zip(rows, plain_groups(rows, simhash.CANDIDATE_SHINGLE, simhash.CANDIDATE_BUDGET)):
+        kept, mine = members.setdefault(c, []), simhash.shingle_set(t, simhash.COPY_SHINGLE)
+        if all(len(mine & k) < simhash.COPY_LEAST * len(mine | k) for k in kept):
+            kept.append(mine)
+            want.append(d)
+    monkeypatch.setattr(simhash, "BATCH", batch)
+    monkeypatch.setattr(simhash, "BATCH_CHARS", chars)
+    monkeypatch.setattr(simhash, "COPY_PIECE", piece)
+    got = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in got) == want
+    assert max(map(len, members.values())) > simhash.ROUNDS
+
+
 # order min-hash
 
 
