@@ -160,7 +160,11 @@ def _lookup_in(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    return _bodies(spark, d).select("event_id", "user_id", F.struct("k").alias("doc"))
+    """events.props as whole documents, with every field that any of them has."""
+    events = _t(spark, d, "events").select("event_id", "user_id", F.col("props").alias("body"))
+    schema = infer_schema(events, limit=None)
+    body = F.from_json("body", schema)
+    return events.select("event_id", "user_id", F.struct(*[body.getField(f).alias(f) for f in schema.names]).alias("doc"))
 
 
 def _with(docs: DataFrame, **columns) -> DataFrame:

@@ -56,3 +56,13 @@ def test_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() > 0
+
+
+def test_whole_documents_are_changed(spark, tmp_path):
+    """Fields besides k, also those that only a late document has, are there after the operation."""
+    rows = [(i, i, '{"k": 1}') for i in range(1100)] + [(2000, 5, '{"k": 2, "late": {"x": 1}, "more": 3}')]
+    spark.createDataFrame(rows, "event_id long, user_id long, props string").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    queries = catalogue.queries()
+    assert {r.event_id: r.n_keys for r in queries["subdoc_remove"](spark, str(tmp_path)).where("event_id in (0, 2000)").collect()} == {0: 0, 2000: 2}
+    assert [tuple(r) for r in queries["subdoc_upsert"](spark, str(tmp_path)).where("event_id = 2000").collect()] == [(2000, 5, 2)]
+    assert [tuple(r) for r in queries["subdoc_increment"](spark, str(tmp_path)).where("event_id = 2000").collect()] == [(2000, 4, 1)]
