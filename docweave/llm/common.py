@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,14 +38,17 @@ def count_upto(n: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the cluster's spark.checkpoint.dir, or a folder of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or the parent of the context's checkpoint folder.
+
+    Where neither is set there is none, and this raises: a folder of the driver's own would be missed by the executors.
+    """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not root:
         current = context.getCheckpointDir()
-        root = current.rsplit("/", 1)[0] if current else tempfile.mkdtemp(prefix="docweave-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(root)
+        if not current:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = current.rsplit("/", 1)[0]
     return root.rstrip("/")
 
 
@@ -59,7 +61,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of written() that nothing reads any more."""
+    for t in tables:
+        delete_path(t.sparkSession, t.written_to.rsplit("/", 1)[0])
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

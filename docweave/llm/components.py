@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.common import written
+from docweave.llm.common import discard, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -42,5 +42,6 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         if not mark[0]:
             break
         # rounds alternate; stars at their least nodes stay as they are
-        now = written(_small_star(_large_star(now).distinct()).distinct(), name)
+        before, now = now, written(_small_star(_large_star(now).distinct()).distinct(), name)
+        discard(before)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b"), F.col("b")).distinct())
