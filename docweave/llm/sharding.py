@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docweave.llm.common import table, text_or_empty
+from docweave.llm.common import table, text_or_empty, written
 from docweave.llm.ordering import hash_range, offsets, ranges_for
 
 ROUNDS = 8
@@ -52,10 +52,14 @@ def permute(numbers: np.ndarray, n: int, seed: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def row_numbers(df: DataFrame, keys: list[str], name: str = "row_number") -> tuple[DataFrame, int]:
+#: Numbers of one repeated row that one task writes out.
+BLOCK = 1 << 16
+
+
+def row_numbers(df: DataFrame, keys: list[str], name: str = "row_number", block: int = BLOCK) -> tuple[DataFrame, int]:
     """df's key columns with gapless numbers from 0, and the number of rows.
 
-    Rows are numbered in the order of (hash of the keys, keys), so a rerun
+    Rows are numbered in the order of (unsigned hash of the keys, keys), so a rerun
     gives every row its number again wherever Spark puts it. Equal rows are
     counted before they are shuffled and numbered together; which of them has
     which number makes no difference.
@@ -66,15 +70,28 @@ def row_numbers(df: DataFrame, keys: list[str], name: str = "row_number") -> tup
     distinct = hashed.groupBy("_h", *keys).agg(F.count(F.lit(1)).alias("_n")).withColumn("_range", hash_range(F.col("_h"), ranges))
     sums = distinct.groupBy("_range").agg(F.sum("_n").alias("_sum"))
     start = offsets(sums, [], "_range", "_sum")
-    inside = Window.partitionBy("_range").orderBy("_h", *keys).rowsBetween(Window.unboundedPreceding, -1)
+    # unsigned, as the ranges are, so that the numbers don't depend on how many ranges there are
+    inside = Window.partitionBy("_range").orderBy(F.col("_h").bitwiseXOR(F.lit(-1 << 63)), *keys).rowsBetween(Window.unboundedPreceding, -1)
     placed = distinct.withColumn("_first", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
     # start has at most MOST_RANGES rows of two numbers
-    numbered = placed.join(F.broadcast(start), "_range").withColumn("_first", F.col("_first") + F.col("before"))
-    out = numbered.select(*keys, F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1)).alias(name))
+    numbered = placed.join(F.broadcast(start), "_range").select(*keys, (F.col("_first") + F.col("before")).alias("_first"), "_n")
+    numbered = written(numbered, "numbered")
+
+    def each(rows: DataFrame) -> DataFrame:
+        return rows.select(*keys, F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1)).alias(name))
+
+    out = each(numbered.where(F.col("_n") <= block))
+    often = numbered.where(F.col("_n") > block)
+    if not often.isEmpty():
+        # rows that repeat very often are dealt out in blocks before they are written out
+        at = F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1, F.lit(block).cast("long"))).alias("_at")
+        blocks = often.select(*keys, at, (F.col("_first") + F.col("_n")).alias("_end"))
+        blocks = blocks.select(*keys, F.col("_at").alias("_first"), F.least(F.lit(block).cast("long"), F.col("_end") - F.col("_at")).alias("_n"))
+        out = out.unionByName(each(blocks.repartition("_first")))
     return out, n
 
 
-def shard_rows(df: DataFrame, keys: list[str], shards: int, seed: int = 17) -> DataFrame:
+def shard_rows(df: DataFrame, keys: list[str], shards: int, seed: int = 17, block: int = BLOCK) -> DataFrame:
     """The key columns of every row with its shard and slot.
 
     A row's place is the permuted row number p; its shard is p mod shards and
@@ -84,16 +101,15 @@ def shard_rows(df: DataFrame, keys: list[str], shards: int, seed: int = 17) -> D
     table gives an empty one. Bring only the columns that tell rows apart:
     other columns aren't returned.
     """
-    numbered, n = row_numbers(df, keys)
+    numbered, n = row_numbers(df, keys, block=block)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema.fields if f.name != "row_number")
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            p = permute(b.pop("row_number").to_numpy(), n, seed)
-            b["shard"], b["slot"] = (p % shards).astype(np.int32), p // shards
-            yield b
+            p = permute(b["row_number"].to_numpy(), n, seed)
+            yield pa.RecordBatch.from_arrays([*[b[c] for c in keys], pa.array((p % shards).astype(np.int32)), pa.array(p // shards)], [*keys, "shard", "slot"])
 
-    return numbered.mapInPandas(place, f"{fields}, shard int, slot long")
+    return numbered.mapInArrow(place, f"{fields}, shard int, slot long")
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
