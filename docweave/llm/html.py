@@ -18,7 +18,7 @@ import re
 from collections.abc import Iterator
 from html import unescape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -306,12 +306,12 @@ def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFram
     rows = pages.select(*[F.col(f"`{c}`") for c in kept], text_or_empty(F.col(f"`{html}`")).alias(html))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != html)
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [main_text(h) for h in b.pop(html)]
-            yield b.assign(**{out: texts})
+            texts = pa.array([main_text(h.as_py()) for h in b[html]], pa.string())
+            yield pa.RecordBatch.from_arrays([*[b[c] for c in kept], texts], [*kept, out])
 
-    return rows.mapInPandas(work, f"{fields}{', ' if kept else ''}`{out}` string")
+    return rows.mapInArrow(work, f"{fields}{', ' if kept else ''}`{out}` string")
 
 
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
