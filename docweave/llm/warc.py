@@ -25,12 +25,12 @@ import zlib
 from collections.abc import Iterator
 from urllib.parse import quote, urlsplit
 
-import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm.common import fresh_path, table, text_or_empty, written
+from docweave.llm.common import discard, fresh_path, table, text_or_empty, written
 
 #: Payloads under this many bytes are never stored as revisits.
 LEAST_REVISIT = 100
@@ -39,6 +39,8 @@ ARCHIVE_BYTES, BLOCK_LINES = 256 << 20, 512
 #: Date of all records, so that reruns write equal archives.
 DATE = "2000-01-01T00:00:00Z"
 CAPTURE = "key string, page_id long, file string, offset long, length long"
+#: Captures of an index file, keys that a task looks up, bytes of records that a task reads back, and the most tasks there are of each.
+INDEX_ROWS, LOOKUP_ROWS, READ_BYTES, MOST_TASKS = 200_000, 50_000, 16 << 20, 1 << 16
 
 
 def surt(url: str | None) -> str:
@@ -57,7 +59,7 @@ def surt(url: str | None) -> str:
 
 def line_key(url: str | None, page_id) -> str:
     """surt and page id; ids in the order of their numbers."""
-    number = "" if page_id is None or page_id != page_id else f"{int(page_id) + (1 << 63):020d}"
+    number = "" if page_id is None else f"{page_id + (1 << 63):020d}"
     return f"{surt(url)}\t{number}"
 
 
@@ -105,8 +107,18 @@ def parse_record(raw: bytes) -> dict:
     }
 
 
-def _int(x):
-    return None if x is None or x != x else int(x)
+def _tasks(amount: int | None, each: int) -> int:
+    return min(MOST_TASKS, max(1, -(-(amount or 0) // each)))
+
+
+def _rows(b: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
+    """The values of some columns row by row; numbers stay whole and nulls None."""
+    return zip(*(b[c].to_pylist() for c in columns))
+
+
+def _batch(rows: list[tuple], **columns: pa.DataType) -> pa.RecordBatch:
+    values = list(zip(*rows)) if rows else [()] * len(columns)
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, columns.values())], list(columns))
 
 
 def decide(pages: DataFrame) -> DataFrame:
@@ -115,6 +127,8 @@ def decide(pages: DataFrame) -> DataFrame:
     Of equal payloads of LEAST_REVISIT bytes or more the smallest page_id is
     the response (all rows with that id, should it repeat; if all ids are
     null, all are responses), the others revisit it. Null html is empty.
+    Repeated rows all stay, further columns are ignored, and an empty table
+    gives an empty one.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", text_or_empty("html").alias("payload"))
     rows = rows.withColumn("payload_digest", F.sha2("payload", 256))
@@ -132,40 +146,38 @@ def decide(pages: DataFrame) -> DataFrame:
 def write_archives(records: DataFrame, folder: str) -> DataFrame:
     """Writes records (see decide()) to WARC files in the folder; the captures (key, page_id, file, offset, length), computed once."""
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, root = _open(folder)
         out, path, at = None, "", 0
         for b in batches:
             found = []
-            for r in b.itertuples(index=False):
+            for page, url, payload, digest, kind, first in _rows(b, "page_id", "url", "payload", "payload_digest", "record_type", "refers_to"):
                 if out is None:
                     path, at = f"{root}/{uuid.uuid4().hex}.warc.gz", 0
                     where.create_dir(root, recursive=True)
                     out = where.open_output_stream(path, compression=None)
-                page = _int(r.page_id)
-                member = gzip.compress(record_bytes(page, r.url, r.payload.encode(), r.payload_digest, r.record_type, _int(r.refers_to)), 5, mtime=0)
+                member = gzip.compress(record_bytes(page, url, payload.encode(), digest, kind, first), 5, mtime=0)
                 out.write(member)
-                found.append((line_key(r.url, page), page, path.rsplit("/", 1)[1], at, len(member)))
+                found.append((line_key(url, page), page, path.rsplit("/", 1)[1], at, len(member)))
                 at += len(member)
                 if at >= ARCHIVE_BYTES:
                     out.close()
                     out = None
-            frame = pd.DataFrame(found, columns=["key", "page_id", "file", "offset", "length"])
-            yield frame.astype({"page_id": "Int64"})
+            yield _batch(found, key=pa.string(), page_id=pa.int64(), file=pa.string(), offset=pa.int64(), length=pa.int64())
         if out is not None:
             out.close()
 
-    return written(records.mapInPandas(write, CAPTURE), "captures")
+    return written(records.mapInArrow(write, CAPTURE), "captures")
 
 
 def build_index(captures: DataFrame, folder: str) -> list[tuple[str, str, str, int, int]]:
     """Writes the index of the captures to the folder; per index file (first key, last key, file, place and length of its directory), in key order.
 
-    The returned list has one entry for each range partition of the sort,
-    whatever the number of captures.
+    The returned list has one entry for each index file of about INDEX_ROWS
+    captures, MOST_TASKS at most.
     """
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, root = _open(folder)
         out, at, lines, directory, last = None, 0, [], [], ""
         name = f"{uuid.uuid4().hex}.cdx"
@@ -179,12 +191,12 @@ def build_index(captures: DataFrame, folder: str) -> list[tuple[str, str, str, i
             lines.clear()
 
         for b in batches:
-            for r in b.itertuples(index=False):
+            for key, file, offset, length in _rows(b, "key", "file", "offset", "length"):
                 if out is None:
                     where.create_dir(root, recursive=True)
                     out = where.open_output_stream(f"{root}/{name}", compression=None)
-                lines.append(f"{r.key}\t{r.file}\t{r.offset}\t{r.length}")
-                last = r.key
+                lines.append(f"{key}\t{file}\t{offset}\t{length}")
+                last = key
                 if len(lines) >= BLOCK_LINES:
                     block()
         if out is None:
@@ -194,11 +206,11 @@ def build_index(captures: DataFrame, folder: str) -> list[tuple[str, str, str, i
         data = zlib.compress(json.dumps(directory).encode(), 6)
         out.write(data)
         out.close()
-        yield pd.DataFrame([(directory[0][0], last, name, at, len(data))], columns=["first", "last", "file", "at", "size"])
+        yield _batch([(directory[0][0], last, name, at, len(data))], first=pa.string(), last=pa.string(), file=pa.string(), at=pa.int64(), size=pa.int64())
 
     # the key holds the page id, so that captures of one URL can part
-    ordered = captures.repartitionByRange("key", "file", "offset").sortWithinPartitions("key", "file", "offset")
-    files = written(ordered.mapInPandas(pack, "first string, last string, file string, at long, size long"), "index")
+    ordered = captures.repartitionByRange(_tasks(captures.count(), INDEX_ROWS), "key", "file", "offset").sortWithinPartitions("key", "file", "offset")
+    files = written(ordered.mapInArrow(pack, "first string, last string, file string, at long, size long"), "index")
     return [tuple(r) for r in files.orderBy("first", "last").collect()]
 
 
@@ -246,51 +258,56 @@ class Index:
 def lookup(queries: DataFrame, folder: str, files: list[tuple[str, str, str, int, int]]) -> DataFrame:
     """queries (url, page_id) -> (file, offset, length) of their captures, each once. Unknown pages give no row."""
 
-    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pd.DataFrame({"key": [line_key(u, p) for u, p in zip(b["url"], b["page_id"])]})
+            yield _batch([(line_key(u, p),) for u, p in _rows(b, "url", "page_id")], key=pa.string())
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index, before = Index(folder, files), None
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index(folder, files)
         for b in batches:
             found = []
-            for key in b["key"]:
-                if key != before:
-                    found += index.find(key)
-                before = key
-            yield pd.DataFrame(found, columns=["file", "offset", "length"])
-
-    asked = queries.select(F.col("page_id").cast("string").alias("page_id"), "url").mapInPandas(keyed, "key string").distinct()
+            for (key,) in _rows(b, "key"):
+                for place in index.find(key):
+                    found.append(place)
+                    if len(found) >= LOOKUP_ROWS:  # a key without a page id can have very many captures
+                        yield _batch(found, file=pa.string(), offset=pa.int64(), length=pa.int64())
+                        found = []
+            yield _batch(found, file=pa.string(), offset=pa.int64(), length=pa.int64())
+
+    asked = written(queries.select(F.col("page_id").cast("long").alias("page_id"), "url").mapInArrow(keyed, "key string").distinct(), "asked")
     # neighbours in the index are asked for by one task
-    return asked.repartitionByRange("key").sortWithinPartitions("key").mapInPandas(search, "file string, offset long, length long")
+    return asked.repartitionByRange(_tasks(asked.count(), LOOKUP_ROWS), "key").sortWithinPartitions("key").mapInArrow(search, "file string, offset long, length long")
 
 
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
 def read_records(located: DataFrame, folder: str, payload: bool = False) -> DataFrame:
-    """The records at (file, offset, length), read in the order of the archives; with `payload` also the payload (null for revisits)."""
+    """The records at (file, offset, length), read in the order of the archives; with `payload` also the payload (null for revisits). A task reads about READ_BYTES."""
+    columns = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64()}
+    if payload:
+        columns["payload"] = pa.binary()
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, root = _open(folder)
         name, handle = "", None
-        columns = [x.split()[0] for x in RECORD.split(", ")] + ["payload"] * payload
         for b in batches:
             found = []
-            for r in b.itertuples(index=False):
-                if r.file != name:
+            for file, offset, length in _rows(b, "file", "offset", "length"):
+                if file != name:
                     if handle is not None:
                         handle.close()
-                    name, handle = r.file, where.open_input_file(f"{root}/{r.file}")
-                got = parse_record(gzip.decompress(handle.read_at(r.length, r.offset)))
-                found.append([got[c] for c in columns])
-            frame = pd.DataFrame(found, columns=columns)
-            yield frame.astype({"page_id": "Int64", "refers_to": "Int64"})
+                    name, handle = file, where.open_input_file(f"{root}/{file}")
+                got = parse_record(gzip.decompress(handle.read_at(length, offset)))
+                found.append(tuple(got[c] for c in columns))
+            yield _batch(found, **columns)
         if handle is not None:
             handle.close()
 
-    ordered = located.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
-    return ordered.mapInPandas(read, RECORD + ", payload binary" * payload)
+    places = written(located, "located")
+    tasks = _tasks(places.agg(F.sum("length")).first()[0], READ_BYTES)
+    ordered = places.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
+    return ordered.mapInArrow(read, RECORD + ", payload binary" * payload)
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,6 +316,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "warc")
     captures = write_archives(decide(pages), folder)
     files = build_index(captures, folder)
+    discard(captures)
     return read_records(lookup(pages.select("page_id", "url"), folder, files), folder)
 
 

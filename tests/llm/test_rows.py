@@ -94,6 +94,18 @@ def test_ties_nulls_and_extra_columns_in_archives(spark):
     assert all(bytes(r.payload) == big.encode() for r in got if r.record_type == "response" and r.payload_bytes)
 
 
+@pytest.mark.parametrize("null_url", [True, False])
+def test_archives_keep_large_ids(spark, folder_of, null_url):
+    """Ids beyond 2^53, mixed with nulls and repeats: all rows come back with their own ids."""
+    big, html_ = 1 << 60, "h" * 150
+    rows = [(big + i, "http://a/x", html_) for i in (1, 3, 5)] + [(big + 7, None, "own " * 40), (big + 7, None, "own " * 40), (3, "http://b", "q")]
+    rows += [(None, None if null_url else "http://a/x", html_), (None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted(((r.page_id or 0, r.record_type, r.refers_to) for r in warc.op2_warc(spark, folder_of(pages=pages)).collect()), key=str)
+    want = [(big + 1, "response", None), (big + 3, "revisit", big + 1), (big + 5, "revisit", big + 1), (big + 7, "response", None), (big + 7, "response", None), (3, "response", None), (0, "revisit", big + 1), (0, "response", None)]
+    assert got == sorted(want, key=str)
+
+
 def test_index_finds_keys_over_blocks_and_files(spark, monkeypatch):
     pages = spark.range(3000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), F.col("id") % 7, F.lit(".example/"), F.col("id") % 50).alias("url"), F.concat(F.lit("<p>"), F.col("id").cast("string")).alias("html"))
     folder = fresh_path(spark, "warc")
@@ -203,6 +215,12 @@ def test_pages_keep_their_columns(spark, folder_of):
     assert html.op7_html(spark, folder_of(pages=df.limit(0).select("page_id", "url", "html"))).count() == 0
 
 
+def test_pages_keep_large_ids(spark, folder_of):
+    ids = [(1 << 60) + 1, (1 << 60) + 3, None, 7]
+    df = spark.createDataFrame([(i, "u", f"<article><p>page {i}</p></article>") for i in ids], "page_id long, url string, html string")
+    assert {(r.page_id, r.text) for r in html.op7_html(spark, folder_of(pages=df)).collect()} == {(i, f"page {i}") for i in ids}
+
+
 def test_pages_of_the_tables(spark, sf, table_of):
     import html as entities
 
@@ -273,6 +291,55 @@ def test_shards(spark, sf, odd, folder_of, table_of):
     assert sharding.op10_sharding(spark, folder_of(documents=odd.limit(0))).count() == 0
 
 
+def plain_shards(rows, shards=24, seed=17):
+    """(id, text) -> (id, size, crc, shard, slot), with plain integers."""
+    full = (1 << 64) - 1
+
+    def mix(x, key):
+        x ^= key
+        x = ((x ^ (x >> 33)) * 0xFF51AFD7ED558CCD) & full
+        x = ((x ^ (x >> 33)) * 0xC4CEB9FE1A85EC53) & full
+        return x ^ (x >> 33)
+
+    keys = [mix((k * 0x9E3779B97F4A7C15 + seed) & full, 0) for k in range(1, sharding.ROUNDS + 1)]
+    n = len(rows)
+    half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
+    mask = (1 << half) - 1
+
+    def permuted(v):
+        while True:
+            a, b = v >> half, v & mask
+            for k in keys:
+                a, b = b, a ^ (mix(b, k) & mask)
+            v = a << half | b
+            if v < n:
+                return v
+
+    told = []
+    for d, t in rows:
+        data = (t or "").encode()
+        name, size, crc = "" if d is None else str(d), len(data) + 8, zlib.crc32(data)
+        h = 42
+        for part in (name.encode(), size.to_bytes(8, "little"), crc.to_bytes(8, "little")):
+            h = xxhash.xxh64_intdigest(part, h)
+        told.append((h, name, size, crc, d))
+    told.sort(key=lambda x: x[:4])
+    return sorted(((d, size, crc, p % shards, p // shards) for i, (_, _, size, crc, d) in enumerate(told) for p in [permuted(i)]), key=str)
+
+
+def test_shards_by_plain_code(spark, sf, odd, folder_of, table_of):
+    docs = table_of("documents")
+    for rows, folder in ((list(zip(docs.doc_id.tolist(), docs.text)), sf), ([(r.doc_id, r.text) for r in odd.collect()], folder_of(documents=odd))):
+        got = [(r.doc_id, r["size"], r.text_crc32, r.shard, r.slot) for r in sharding.op10_sharding(spark, folder).collect()]
+        assert sorted(got, key=str) == plain_shards(rows)
+
+
+def test_rows_that_repeat_often_are_dealt_out_in_blocks(spark):
+    df = spark.createDataFrame([("x", (1 << 60) + 1)] * 50 + [("y", None)] * 3 + [(None, 2)], "a string, b long")
+    small, whole = (sorted(((r.a, r.b, r.shard, r.slot) for r in sharding.shard_rows(df, ["a", "b"], 5, block=k).collect()), key=str) for k in (7, 1000))
+    assert small == whole and len(small) == 54
+
+
 # pieces
 
 
