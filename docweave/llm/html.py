@@ -2,19 +2,20 @@
 
 A page is parsed to a tree; parts that are never article text (menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles, comments) are left
-out. For every node of the rest the density is its characters per tag,
-adjusted by the share of linked characters and tags. A node's density sum is
-the sum over its children. The subtree of the largest density sum is content,
-and so are, below the body, the subtrees of largest sum within all nodes that
-are at least as dense as the least dense node on the path from the first such
-subtree to the body. Where content lies in an article or main element, that
-element is taken whole.
+out first, by element, role and name. For every node of the rest the density is
+its characters outside links per block. A node's density sum is the sum over
+its children, where its own text counts like a child. The subtree of the
+largest density sum is content. The path from it to the body gives two
+thresholds, the least density and the least density sum on it; the subtrees of
+largest sum within all nodes that reach both are content too, and so are
+headings that stand before content. Elements such as article have no part in
+that choice.
 """
 
 from __future__ import annotations
 
-import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -56,10 +57,10 @@ ENDED_BY = {
     "tbody": frozenset(["tbody", "tfoot"]),
     "option": frozenset(["option", "optgroup"]),
 }
-#: Elements nested deeper than this are not opened.
-DEEPEST = 1000
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: What an implied end doesn't reach beyond.
 SCOPE = frozenset("ul ol dl table select body html article section div td th".split())
+ENDERS = frozenset().union(*ENDED_BY.values())
 ENDS_P = BLOCK - frozenset("body html option optgroup tbody td tfoot th thead tr caption legend".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$)""", re.I)
@@ -67,12 +68,14 @@ WHITE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "depth", "parent", "parts", "skip", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "block", "bound", "parts", "skip", "chars", "own", "tags", "link_chars", "within", "density", "total", "best")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool | str):
         self.tag, self.parent, self.skip = tag, parent, skip
-        self.depth = parent.depth + 1 if parent is not None else 0
         self.parts: list[Node | str] = []
+        #: the nearest node, from this one upwards, that is a block, and the nearest that implied ends look at
+        self.block = self if parent is None or tag in BLOCK else parent.block
+        self.bound = self if parent is None or tag in ENDED_BY or tag in SCOPE else parent.bound
 
 
 def _skipped(tag: str, attributes: str) -> bool | str:
@@ -93,9 +96,19 @@ def _skipped(tag: str, attributes: str) -> bool | str:
 
 
 def parse(html: str) -> Node:
-    """The tree of a page. Any text is a page: unknown, unclosed and stray tags are borne."""
+    """The tree of a page. Any text is a page: unknown, unclosed and stray tags are borne, at any depth."""
     root = node = Node("html", None, False)
+    opened: Counter = Counter()
     at, size = 0, len(html)
+
+    def rise(to: Node) -> Node:
+        """Makes an ancestor the open node."""
+        now = node
+        while now is not to:
+            opened[now.tag] -= 1
+            now = now.parent
+        return to
+
     while at < size:
         m = TOKEN.search(html, at)
         if m is None:
@@ -108,19 +121,21 @@ def parse(html: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            node = _close(node, tag)
+            if opened[tag] > 0:
+                node = rise(_close(node, tag))
             continue
         if tag in ("html", "body"):  # these are there once
             if tag == "body" and not any(isinstance(x, Node) and x.tag == "body" for x in root.parts):
                 node = Node("body", root, False)
                 root.parts.append(node)
+                opened.clear()
             continue
-        node = _imply_ends(node, tag)
+        node = rise(_imply_ends(node, tag))
         new = Node(tag, node, _skipped(tag, m[3]))
         if tag in ("article", "main") and not new.skip:
             # a wrapper's name, such as with-sidebar, counts less than the article in it
             up: Node | None = node
-            while up is not None:
+            while up is not None and (up.skip or up.tag not in ("article", "main")):
                 if up.skip == "name":
                     up.skip = False
                 up = up.parent
@@ -129,15 +144,14 @@ def parse(html: str) -> Node:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
             new.parts.append(html[at : end.start() if end else size])
             at = end.end() if end else size
-        elif tag not in VOID and new.depth < DEEPEST:  # what is nested deeper stands beside its parent
+        elif tag not in VOID:
             node = new
+            opened[tag] += 1
     return root
 
 
 def _close(node: Node, tag: str) -> Node:
-    """The open node after an end tag; an end tag without its element is ignored."""
-    if tag in VOID or tag in ("body", "html"):
-        return node
+    """The open node after an end tag whose element is open; one that doesn't end anything here is ignored."""
     up: Node | None = node
     while up is not None and up.tag != tag:
         # an inline end tag doesn't end the block around it
@@ -149,24 +163,21 @@ def _close(node: Node, tag: str) -> Node:
 
 def _imply_ends(node: Node, tag: str) -> Node:
     """The open node after the ends that a start tag implies."""
-    if tag in ENDS_P:
-        up: Node | None = node
-        while up is not None and up.tag != "p" and (up.tag not in BLOCK):
-            up = up.parent
-        if up is not None and up.tag == "p" and up.parent is not None:
-            node = up.parent
-    if tag == "body" or node.tag == "head" and tag in BLOCK:
-        while node.tag == "head" and node.parent is not None:
-            node = node.parent
-    up = node
+    if tag in ENDS_P and node.block.tag == "p" and node.block.parent is not None:
+        node = node.block.parent
+    if node.tag == "head" and tag in BLOCK:
+        node = node.parent or node
+    if tag not in ENDERS:
+        return node
+    up = node.bound
     while up is not None and up.parent is not None:
         if tag in ENDED_BY.get(up.tag, ()):
             node = up.parent
-            up = node
+            up = node.bound
             continue
         if up.tag in SCOPE and up.tag not in ENDED_BY:
             break
-        up = up.parent
+        up = up.parent.bound
     return node
 
 
@@ -175,85 +186,89 @@ def _visible(parts) -> int:
 
 
 def _count(root: Node) -> list[Node]:
-    """Counts characters and tags, bottom up and without recursion; the nodes that count, parents first."""
+    """Counts characters and tags of blocks, bottom up and without recursion; the nodes that count, parents first. Inline elements are part of the text around them."""
     order, stack = [], [root]
     while stack:
         n = stack.pop()
         order.append(n)
         stack += [x for x in n.parts if isinstance(x, Node) and not x.skip]
     for n in reversed(order):
-        n.chars = sum(_visible(x) for x in n.parts if isinstance(x, str))
-        kids = [x for x in n.parts if isinstance(x, Node) and not x.skip]
-        n.chars += sum(k.chars for k in kids)
-        n.tags = sum(k.tags + 1 for k in kids)
-        n.link_chars = n.chars if n.tag == "a" else sum(k.link_chars for k in kids)
-        n.link_tags = sum(k.link_tags + (k.tag == "a") for k in kids)
+        n.own = sum(_visible(x) for x in n.parts if isinstance(x, str))
+        n.chars, n.tags, n.link_chars, n.within = n.own, 0, 0, 0.0
+        for k in n.parts:
+            if isinstance(k, str) or k.skip:
+                continue
+            block = k.tag in BLOCK
+            n.chars += k.chars
+            n.tags += k.tags + block
+            n.link_chars += k.link_chars
+            if not block:
+                n.own += k.own
+                n.within += k.within
+            else:
+                n.within += k.density
+        if n.tag == "a":
+            n.link_chars, n.own = n.chars, 0
+        # composite density: characters outside links per tag; its sum over the children, where a node's own text counts like a child
+        n.density = (n.chars - n.link_chars) / max(n.tags, 1)
+        n.total = n.own + n.within
     return order
 
 
-def _weigh(order: list[Node]) -> None:
-    """Composite text density of each node, and the sum over its children."""
-    body = order[0]
-    share = body.link_chars / max(body.chars, 1)
-    for n in order:
-        c, t, lc, lt = n.chars, max(n.tags, 1), max(n.link_chars, 1), max(n.link_tags, 1)
-        if not c:
-            n.density = 0.0
-            continue
-        base = math.log(c / max(c - n.link_chars, 1) * n.link_chars + share * c + math.e)
-        inner = (c / lc) * (t / lt)
-        n.density = c / t * (math.log(inner) / math.log(base) if base > 1.0000001 and inner > 1 else 1.0 if inner > 1 else 0.0)
-        n.density = max(n.density, 0.0)
-    for n in order:
-        n.total = sum(x.density for x in n.parts if isinstance(x, Node) and not x.skip)
-        if any(isinstance(x, str) and x.strip() for x in n.parts):
-            n.total = max(n.total, n.density)
-
-
-def _largest(top: Node) -> Node:
-    best, stack = top, [top]
-    while stack:
-        n = stack.pop()
-        if n.total > best.total:
-            best = n
-        stack += [x for x in reversed(n.parts) if isinstance(x, Node) and not x.skip]
-    return best
-
-
-def _around(n: Node, tags: tuple[str, ...]) -> Node | None:
-    found, up = None, n
-    while up is not None:
-        if up.tag in tags:
-            found = up
-        up = up.parent
-    return found
+def _rank(order: list[Node]) -> None:
+    """For each node the subtree of largest density sum within it, bottom up; among equals the outermost."""
+    for n in reversed(order):
+        n.best = n
+        for x in n.parts:
+            if isinstance(x, Node) and not x.skip and x.best.total > n.best.total and x.best.tag in BLOCK:
+                n.best = x.best
 
 
 def content(body: Node) -> list[Node]:
-    """The subtrees that are content, in page order, none within another."""
+    """The subtrees that are content, in page order, none within another.
+
+    The subtree of the largest density sum is content. The threshold is the
+    least density on the path from it to the body; within each node that
+    reaches it the subtree of the largest sum is content too. Headings that
+    stand before content among the children of a node belong to it.
+    """
     order = _count(body)
     if not body.chars:
         return []
-    _weigh(order)
-    best = _largest(body)
-    for tags in (("article",), ("main",)):
-        whole = _around(best, tags)
-        if whole is not None:
-            return [whole]
-    path, up = [], best
-    while up is not None and up is not body.parent:
-        path.append(up)
+    _rank(order)
+    best = up = body.best
+    least, share = best.density, best.total
+    while up is not body:
         up = up.parent
-    least = min(n.density for n in path)
-    marked = {id(_largest(n)): None for n in order if n.density >= least and n.chars}
-    marked[id(best)] = None
+        least, share = min(least, up.density), min(share, up.total)
+    marked = {id(n.best) for n in order if n.density >= least and n.best.total >= share and n.chars and n.tag in BLOCK}
+    marked.add(id(best))
+    # what contains content, bottom up
+    holds = set(marked)
+    for n in reversed(order):
+        if any(isinstance(x, Node) and id(x) in holds for x in n.parts):
+            holds.add(id(n))
     out, stack = [], [body]
     while stack:
         n = stack.pop()
         if id(n) in marked:
             out.append(n)
-        else:
-            stack += [x for x in reversed(n.parts) if isinstance(x, Node) and not x.skip]
+            continue
+        later: list[Node] = []
+        follows = False
+        for x in reversed(n.parts):
+            if isinstance(x, str) or x.skip:
+                follows = follows and (isinstance(x, str) and not x.strip() or not isinstance(x, str))
+                continue
+            heading = x.tag in HEADINGS and follows
+            if id(x) in holds or heading:
+                later.append(x)
+                if heading:
+                    marked.add(id(x))
+                follows = True
+            elif x.chars:
+                follows = False
+        stack += later
     return out
 
 

@@ -206,6 +206,8 @@ def test_main_text(page, text):
 
 def test_deep_and_long_pages():
     assert html.main_text("<b>" * 50_000 + "x") == "x"
+    assert html.main_text("<div>" * 30_000 + "<nav>menu</nav><p>x</p>") == "x"
+    assert html.main_text("<p>y</p>" + "<b>" * 20_000 + "</i>" * 20_000 + "<li>" * 5) == "y"
     assert len(html.main_text("<article>" + "<p>word word</p>" * 50_000)) > 500_000
 
 
@@ -221,17 +223,41 @@ def test_pages_keep_large_ids(spark, folder_of):
     assert {(r.page_id, r.text) for r in html.op7_html(spark, folder_of(pages=df)).collect()} == {(i, f"page {i}") for i in ids}
 
 
-def test_pages_of_the_tables(spark, sf, table_of):
+def plain_article(page):
+    """What stands in the article of a page of the tables."""
     import html as entities
 
+    inside = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+    inside = re.sub(r"</?(p|h1)>", "\0", re.sub(r"</?b>", "", inside.replace("<br>", " ")))
+    return "\n\n".join(x for x in (re.sub(r"\s+", " ", entities.unescape(x)).strip() for x in inside.split("\0")) if x)
+
+
+def test_pages_of_the_tables(spark, sf, table_of):
     got = html.op7_html(spark, sf).toPandas().set_index("page_id")
     for r in table_of("pages").itertuples():
-        inside = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
-        inside = re.sub(r"</?(p|h1)>", "\0", re.sub(r"</?b>", "", inside.replace("<br>", " ")))
-        want = "\n\n".join(x for x in (re.sub(r"\s+", " ", entities.unescape(x)).strip() for x in inside.split("\0")) if x)
+        want = plain_article(r.html)
         assert (got.loc[r.page_id].text, got.loc[r.page_id].n_chars) == (want, len(want))
 
 
+def test_density_finds_the_article(monkeypatch):
+    """Without article elements and without class, id and role names the density alone finds the text; without the density it isn't found."""
+    pages = pd.read_parquet("/root/testdata/sf0.01/pages.parquet").html
+    bare = [re.sub(r"\s(class|id|role)=(\"[^\"]*\"|\S+?)(?=[\s>])", "", re.sub(r"(</?)article\b", r"\1div", p)) for p in pages]
+    want = [plain_article(p) for p in pages]
+    assert [html.main_text(p) for p in bare] == want
+    wrapped = [re.sub(r"(</?)article\b", r"\1div", p.replace("<body>", "<body><div><section>")) for p in pages]
+    assert [html.main_text(p) for p in wrapped] == want
+    monkeypatch.setattr(html, "content", lambda body: [body])
+    assert all(html.main_text(p) != w for p, w in zip(bare[:50], want))
+
+
+def test_sections_and_headings_by_density():
+    p = "<p>" + "A paragraph of some length that is about the matter at hand. " * 3 + "</p>"
+    page = f"<body><div>Short note.</div><div><h1>Title</h1><div><h2>One</h2>{p * 5}</div><div><h2>Two</h2>{p * 3}</div></div><div><a href=x>link one</a> <a href=y>and a second link</a></div></body>"
+    text = html.main_text(page)
+    assert text.startswith("Title\n\nOne\n\nA para") and "Two" in text and text.count("A paragraph") == 24 and "link" not in text and "Short note" not in text
+
+
 # chats
 
 
