@@ -64,14 +64,15 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
 def queue(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, seed: int = 29, ranges: int | None = None) -> DataFrame:
     """docs (with columns doc_id, source, size) as queued documents, one row per document and epoch: all columns of docs, source_size, target, epoch, finish, tie.
 
-    The shuffle of a source is the order of md5(doc_id, seed), then size; the
+    The shuffle of a source is the order of md5(doc_id, or size where that is
+    null, and seed), then size; the
     running sum over a source goes by ranges of that hash, so a source with a
     third of all rows is spread over as many tasks. Columns of the names above
     give way.
     """
     ranges = ranges or ranges_for(docs.count())
     docs = docs.drop("source_size", "target", "epoch", "finish", "tie")
-    key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(str(seed))).cast("binary"))
+    key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.col("size").cast("string"))), F.lit(str(seed))).cast("binary"))
     # the first 8 hexadecimal digits of the hash, cut into ranges in its order
     at = F.floor(F.conv(F.substring(key, 1, 8), 16, 10).cast("long") * F.lit(ranges) / F.lit(1 << 32)).cast("int")
     hashed = docs.withColumn("tie", key).withColumn("_range", at)
@@ -132,7 +133,7 @@ OP1_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, source,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':29') AS tie
+         md5(coalesce(CAST(doc_id AS VARCHAR), 'null:' || coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)) || ':29') AS tie
   FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k FROM d GROUP BY source
