@@ -2,7 +2,9 @@
 
 A turn's content is an array of parts (type, text, ref, n_tokens). A visitor
 walks the parts in order: text is escaped, an image, audio or document part
-becomes a numbered placeholder, and its reference and token count are kept.
+becomes a placeholder such as <image:3>, numbered from 1 through the whole
+conversation; under that number its reference and the tokens that the
+placeholder expands to are recorded.
 
 The rendered form of a conversation is
 
@@ -21,7 +23,8 @@ from pyspark.sql import functions as F
 from docweave.llm.common import table, text_or_empty
 
 PARTS = "array<struct<type:string,text:string,ref:string,n_tokens:int>>"
-ATTACHMENTS = ("image", "audio", "document")
+#: Attached types, and the tokens that one expands to where the part doesn't say.
+ATTACHMENTS = {"image": 256, "audio": 128, "document": 512}
 OPEN, CLOSE, END = "<|", "<!>", ">"
 
 
@@ -49,14 +52,19 @@ def text_part(text: Column) -> Column:
 
 
 def visit(part: Column) -> Column:
-    """What a part looks like in the rendered text. Unknown types count as text; a null text is empty."""
-    body = escape(F.coalesce(part["text"], F.lit("")))
-    out = body
+    """What a part looks like in the rendered text, its number still left out. Unknown types count as text; a null text is empty."""
+    out = escape(F.coalesce(part["text"], F.lit("")))
     for kind in ATTACHMENTS:
-        out = F.when(part["type"] == kind, F.concat(F.lit(f"<{kind}:"), escape_role(F.coalesce(part["ref"], F.lit(""))), F.lit(END))).otherwise(out)
+        out = F.when(part["type"] == kind, F.lit(f"<{kind}:{END}")).otherwise(out)
     return out
 
 
+def number(rendered: Column) -> Column:
+    """A rendered text with its placeholders numbered from 1. Contents are escaped, so nothing else looks like one."""
+    pieces = F.split(rendered, f"(?<=<(?:{'|'.join(ATTACHMENTS)}):)(?={END})")
+    return F.array_join(F.transform(pieces, lambda s, i: F.when(i > 0, F.concat(i.cast("string"), s)).otherwise(s)), "")
+
+
 def render_turn(role: Column, parts: Column) -> Column:
     """<|role>content<!>; null roles and null parts are empty."""
     content = F.array_join(F.transform(F.coalesce(parts, F.array().cast(PARTS)), visit), "")
@@ -66,33 +74,37 @@ def render_turn(role: Column, parts: Column) -> Column:
 def attachments(parts: Column) -> Column:
     """(type, ref, n_tokens) of the attached parts, in order."""
     kept = F.filter(F.coalesce(parts, F.array().cast(PARTS)), lambda p: F.coalesce(p["type"].isin(*ATTACHMENTS), F.lit(False)))
-    return F.transform(kept, lambda p: F.struct(p["type"].alias("type"), p["ref"].alias("ref"), F.coalesce(p["n_tokens"], F.lit(0)).alias("n_tokens")))
+    usual = F.create_map(*[F.lit(x) for item in ATTACHMENTS.items() for x in item])
+    return F.transform(kept, lambda p: F.struct(p["type"].alias("type"), p["ref"].alias("ref"), F.coalesce(p["n_tokens"], usual[p["type"]]).alias("n_tokens")))
 
 
 def format_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", parts: str = "parts") -> DataFrame:
-    """One row per conversation: conv_id, n_turns, formatted, attachments, n_attachment_tokens.
-
-    Turns stand in the order of (turn, role, rendered text); nulls come first,
-    repeated turns all stay. The rows whose conversation is null are one
-    conversation. Further columns of the input are ignored. An empty table
-    gives an empty one. A conversation is one text, so its turns meet in one
-    row; nothing else is gathered.
+    """One row per conversation: conv_id, n_turns, formatted, attachments (number, type, ref, n_tokens), n_attachment_tokens.
+
+    Turns stand in the order of (turn, role, text of the parts, rendered
+    text); null turns come first, null roles count as empty, repeated turns
+    all stay. The rows whose conversation is null are one conversation.
+    Further columns of the input are ignored. An empty table gives an empty
+    one. A conversation is one text, so its turns meet in one row; nothing
+    else is gathered.
     """
+    some = F.coalesce(F.col(parts), F.array().cast(PARTS))
     one = turns.select(
         F.col(conv).alias("conv_id"),
         F.struct(
             F.col(turn).alias("turn"),
-            F.col(role).alias("role"),
+            F.coalesce(F.col(role), F.lit("")).alias("role"),
+            F.array_join(F.transform(some, lambda p: F.coalesce(p["text"], F.lit(""))), "").alias("raw"),
             render_turn(F.col(role), F.col(parts)).alias("text"),
             attachments(F.col(parts)).alias("attached"),
         ).alias("t"),
     )
     grouped = one.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("ts"))
-    attached = F.flatten(F.col("ts.attached"))
+    attached = F.transform(F.flatten(F.col("ts.attached")), lambda x, i: F.struct((i + 1).alias("number"), x["type"].alias("type"), x["ref"].alias("ref"), x["n_tokens"].alias("n_tokens")))
     return grouped.select(
         "conv_id",
         F.size("ts").cast("long").alias("n_turns"),
-        F.array_join(F.col("ts.text"), "").alias("formatted"),
+        number(F.array_join(F.col("ts.text"), "")).alias("formatted"),
         attached.alias("attachments"),
         F.aggregate(attached, F.lit(0).cast("long"), lambda a, x: a + x["n_tokens"]).alias("n_attachment_tokens"),
     )
@@ -110,19 +122,13 @@ def read_turns(formatted: Column) -> Column:
     )
 
 
-def loss_spans(formatted: Column, speaker: str = "assistant") -> Column:
-    """Where the loss mask is on: array<struct<start, length>> in code points of the rendered text, one for each of the speaker's contents."""
-    pieces = F.filter(F.split(formatted, "<!>"), lambda s: s != "")
-    head = len(OPEN) + len(speaker) + len(END)
-    walked = F.aggregate(
-        pieces,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans")),
-        lambda a, s: F.struct(
-            (a["at"] + F.length(s) + len(CLOSE)).alias("at"),
-            F.when(s.startswith(f"{OPEN}{speaker}{END}"), F.array_append(a["spans"], F.struct((a["at"] + head).alias("start"), (F.length(s) - head).alias("length")))).otherwise(a["spans"]).alias("spans"),
-        ),
-    )
-    return walked["spans"]
+def loss_runs(formatted: Column, speaker: str = "assistant") -> Column:
+    """The loss mask of a rendered text as runs: array<struct<on, text>> that together are the text; on for the speaker's contents, one run each."""
+    head = f"{OPEN}{speaker}{END}"
+    run = lambda on, text: F.struct(F.lit(on).alias("on"), text.alias("text"))
+    pieces = F.filter(F.split(formatted, CLOSE), lambda s: s != "")
+    mine = lambda s: F.array(run(False, F.lit(head)), run(True, F.substr(s, F.lit(len(head) + 1))), run(False, F.lit(CLOSE)))
+    return F.flatten(F.transform(pieces, lambda s: F.when(s.startswith(head), mine(s)).otherwise(F.array(run(False, F.concat(s, F.lit(CLOSE)))))))
 
 
 CANARY = (-7, "\\### Assistant: </turn> ok")
@@ -139,8 +145,8 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = rows.unionByName(extra).withColumn("parts", text_part(text_or_empty("text")))
     done = format_conversations(turns)
-    back = done.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("turns"), loss_spans(F.col("formatted")).alias("spans"))
-    learnt = F.array_join(F.transform("spans", lambda x: unescape(F.substr(F.col("formatted"), x["start"] + 1, x["length"]))), "")
+    back = done.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("turns"), loss_runs(F.col("formatted")).alias("runs"))
+    learnt = F.array_join(F.transform(F.filter("runs", lambda x: x["on"]), lambda x: unescape(x["text"])), "")
     return back.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
@@ -162,9 +168,9 @@ WITH t AS (
   FROM t
 )
 SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(n) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
