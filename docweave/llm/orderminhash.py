@@ -8,6 +8,11 @@ ones under the hash order that begins at that point. They are put back into
 the order of the text, and the hash of the tuple is the component. Two texts
 agree in a component if the same k-mers are selected and stand in the same
 order, so the likeness falls with the edit distance.
+
+All components read one ring from different points instead of one random order
+each (one permutation instead of many). The expected likeness is that of
+independent orders; components of short texts, with fewer k-mers than
+components, repeat each other, so its variance is larger there.
 """
 
 from __future__ import annotations
@@ -18,8 +23,8 @@ from pyspark.sql import functions as F
 from docweave.llm.common import count_upto, let, table, text_or_empty, words, written
 
 SHINGLE, TUPLE, COMPONENTS = 5, 2, 64
-#: A packed number has the hash in its upper bits and the place in its lower.
-PLACE_BITS = 24
+#: A packed number has the hash in its upper 32 bits and the place, as large as an array can have it, in its lower.
+PLACE_BITS = 31
 PLACE = (1 << PLACE_BITS) - 1
 
 
@@ -34,7 +39,7 @@ def kmers(ws: Column) -> Column:
 
 
 def pack(hashed: Column, place: Column) -> Column:
-    """Upper 39 bits of a hash, as a number that isn't negative, and a place below PLACE."""
+    """Upper 32 bits of a hash, as a number that isn't negative, and a place below PLACE."""
     return F.shiftleft(F.shiftrightunsigned(hashed, PLACE_BITS + 1), PLACE_BITS).bitwiseOR(place)
 
 
@@ -44,7 +49,7 @@ def place_of(packed: Column) -> Column:
 
 def numbered(ks: Column) -> Column:
     """Each k-mer with its occurrence number hashed onto the ring and packed with its place; sorted by hash. ks may be a lambda variable."""
-    by_value = F.sort_array(F.transform(ks, lambda k, i: pack(k, F.pmod(i, F.lit(PLACE)).cast("long"))))
+    by_value = F.sort_array(F.transform(ks, lambda k, i: pack(k, i.cast("long"))))
     same = lambda s, i: F.shiftright(F.get(s, i), PLACE_BITS)
 
     def ring(s: Column) -> Column:
@@ -86,9 +91,7 @@ def signature(ring: Column) -> Column:
 def fingerprint(text: Column) -> Column:
     """The fingerprint of a non-null text: 4 * COMPONENTS hexadecimal digits, all 0 for a text without words.
 
-    Equal word sequences have equal fingerprints. A text's words are told
-    apart up to place 2^24; beyond, places wrap around, which still gives
-    equal texts equal fingerprints.
+    Equal word sequences have equal fingerprints, whatever their length.
     """
     return let(kmers(words(text)), lambda ks: let(numbered(ks), signature))
 
@@ -113,7 +116,8 @@ def successors(ids: DataFrame, keys: list[str], carried: list[str]) -> DataFrame
     following = F.coalesce(F.lead("_head").over(order), F.first("_head").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     around = heads.select("_range", following.alias("_around"))
     inside = ranged.withColumn("_lead", F.lead(row).over(Window.partitionBy("_range").orderBy(*keys)))
-    joined = inside.join(F.broadcast(around), "_range").withColumn("_next", F.coalesce("_lead", "_around"))
+    # both sides are dealt out by range already
+    joined = inside.join(around, "_range").withColumn("_next", F.coalesce("_lead", "_around"))
     return joined.select(*keys, *carried, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in (*keys, *carried)])
 
 
@@ -127,7 +131,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def printed(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text) -> doc_id, n_chars, fingerprint; null texts are empty, repeated rows all come back."""
+    """docs (doc_id, text) -> doc_id, n_chars, fingerprint; null texts are empty, repeated rows all come back, further columns are ignored; an empty table gives an empty one."""
     text = text_or_empty("text")
     return docs.select("doc_id", F.length(text).cast("long").alias("n_chars"), fingerprint(text).alias("fingerprint"))
 
@@ -140,7 +144,8 @@ def edit_with_next(docs: DataFrame) -> DataFrame:
     comes back. The next of the last document is the first, so a single
     document is its own next. `edited` is the text with its last quarter of
     code points, rounded down, replaced by as many from the start of the next
-    document, or all it has.
+    document, or all it has. Null texts are empty, an empty table gives an
+    empty one, and further columns are ignored, so none can clash.
     """
     rows = keyed(docs)
     one = rows.select(*KEYS, F.length("text").alias("n_chars"), fingerprint(F.col("text")).alias("fingerprint")).dropDuplicates(KEYS)

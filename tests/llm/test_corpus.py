@@ -5,6 +5,7 @@ import random
 import re
 import struct
 from bisect import bisect_right
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -242,11 +243,11 @@ def plain_order_minhash(text):
         ks = [chain(h[i : i + o.SHINGLE]) for i in range(len(h) - o.SHINGLE + 1)]
     seen, ring = {}, []
     for i, k in enumerate(ks):
-        k >>= 25
+        k >>= 32
         n = seen[k] = seen.get(k, -1) + 1
-        ring.append((xxhash.xxh64_intdigest(struct.pack("<i", n), _long(k, 42)) >> 25, i))
+        ring.append((xxhash.xxh64_intdigest(struct.pack("<i", n), _long(k, 42)) >> 32, i))
     ring.sort()
-    out, step = [], (1 << 39) // o.COMPONENTS
+    out, step = [], (1 << 32) // o.COMPONENTS
     for j in range(o.COMPONENTS):
         first = bisect_right(ring, (j * step + step // 2, o.PLACE))
         picked = sorted(ring[(first + t) % len(ring)][::-1] for t in range(o.TUPLE))
@@ -285,6 +286,50 @@ def test_order_minhash_sees_order(spark):
     assert alike(a, close) > 55 > 45 > alike(a, turned)
 
 
+def true_order_minhash(a, b, rounds, rng):
+    """The share of random orders of the numbered k-mers under which both texts select the same ones in the same text order."""
+
+    def numbered(ws):
+        seen = Counter()
+        out = []
+        for i in range(len(ws) - orderminhash.SHINGLE + 1):
+            k = tuple(ws[i : i + orderminhash.SHINGLE])
+            out.append((k, seen[k]))
+            seen[k] += 1
+        return out
+
+    a, b = numbered(a), numbered(b)
+    agree = 0
+    for _ in range(rounds):
+        order = {k: rng.random() for k in {*a, *b}}
+        first = [[k for k in x if k in set(sorted(set(x), key=order.get)[: orderminhash.TUPLE])] for x in (a, b)]
+        agree += first[0] == first[1]
+    return agree / rounds
+
+
+@pytest.mark.parametrize("n", [30, 120])
+def test_likeness_is_that_of_independent_orders(spark, n):
+    """Bias and spread against true Order MinHash, for short and for longer texts."""
+    rng = random.Random(n)
+    pairs = []
+    for i in range(60):
+        ws = [f"w{rng.randrange(40)}" for _ in range(n)]
+        other = list(ws)
+        if i % 3:
+            for k in rng.sample(range(n), n // 30):
+                other[k] = f"x{rng.random()}"
+        else:
+            cut = rng.randrange(n)
+            other = other[cut:] + other[:cut]
+        pairs.append((ws, other))
+    df = spark.createDataFrame([(" ".join(a), " ".join(b)) for a, b in pairs], "a string, b string")
+    got = [r.x for r in df.select(orderminhash.likeness(orderminhash.fingerprint(F.col("a")), orderminhash.fingerprint(F.col("b"))).alias("x")).collect()]
+    want = [true_order_minhash(a, b, 200, rng) for a, b in pairs]
+    off = np.array(got) - np.array(want)
+    # one ring: no bias; the spread is that of at most n - 4 independent components instead of 64
+    assert abs(off.mean()) < 0.04 and off.std() < 1.6 * (0.25 / min(n - 4, 64) + 0.25 / 200) ** 0.5
+
+
 def test_order_minhash_of_odd_documents(spark, odd, folder_of):
     got = orderminhash.op4_order_minhash(spark, folder_of(documents=odd)).collect()
     assert len(got) == 11

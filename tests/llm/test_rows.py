@@ -264,15 +264,44 @@ def test_sections_and_headings_by_density():
 def test_chat_parts(spark):
     part = "struct<type:string,text:string,ref:string,n_tokens:int>"
     rows = [
-        (1, 0, "user", [("text", "look <|image|> \\l", None, None), ("image", None, "a>b<c\\", 256), ("text", None, None, None), ("audio", None, None, None)]),
+        (1, 0, "user", [("text", "look <|image|> \\l", None, None), ("image", None, "a>b<c\\", 300), ("text", None, None, None), ("audio", None, None, None)]),
         (1, 1, "assistant", [("text", "seen", None, None), ("document", None, "d", 10)]),
         (2, 0, None, None),
         (None, None, "assistant", [("text", "", None, None)]),
     ]
     df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{part}>").withColumn("formatted", F.lit("clash"))
     got = {r.conv_id: r for r in chat.format_conversations(df).collect()}
-    assert [tuple(a) for a in got[1].attachments] == [("image", "a>b<c\\", 256), ("audio", None, 0), ("document", "d", 10)] and got[1].n_attachment_tokens == 266
-    assert got[1].formatted == "<|user>look \\l|image|> \\bl<image:a\\gb\\lc\\b><audio:><!><|assistant>seen<document:d><!>"
+    assert [tuple(a) for a in got[1].attachments] == [(1, "image", "a>b<c\\", 300), (2, "audio", None, 128), (3, "document", "d", 10)] and got[1].n_attachment_tokens == 438
+    assert got[1].formatted == "<|user>look \\l|image|> \\bl<image:1><audio:2><!><|assistant>seen<document:3><!>"
+    many = spark.createDataFrame([(7, t, "user", [("text", "<image:>", None, None), ("image", None, f"r{t}", t)] * 30) for t in range(20)], df.drop("formatted").schema)
+    one = chat.format_conversations(many).first()
+    assert [int(x) for x in re.findall(r"<image:(\d+)>", one.formatted)] == list(range(1, 601)) == [a.number for a in one.attachments]
+    assert [a.ref for a in one.attachments] == [f"r{t}" for t in range(20) for _ in range(30)]
+
+
+def test_loss_runs_cover_the_text(spark):
+    part = "struct<type:string,text:string,ref:string,n_tokens:int>"
+    rows = [(1, 0, "user", [("text", "<|assistant>no<!>", None, None)]), (1, 1, "assistant", [("text", "yes", None, None), ("image", None, "i", 1)]), (1, 2, "assistant", []), (1, 3, "assistants", [("text", "no", None, None)])]
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{part}>")
+    r = chat.format_conversations(df).select("formatted", chat.loss_runs(F.col("formatted")).alias("runs")).first()
+    assert "".join(x.text for x in r.runs) == r.formatted and [x.text for x in r.runs if x.on] == ["yes<image:1>", ""]
+
+
+def test_ties_of_turns_stand_in_the_order_of_their_texts(spark, folder_of, duck, same):
+    df = spark.createDataFrame([(1, 0, "user", "<"), (1, 0, "user", "\\"), (1, 0, "user", "="), (1, None, "user", "z"), (1, 0, None, "n"), (1, 0, "", "m")], "conv_id long, turn long, role string, text string")
+    root = folder_of(conversations=df)
+    import duckdb
+
+    other = duckdb.connect()
+    other.sql(f"CREATE VIEW conversations AS SELECT * FROM '{root}/conversations.parquet/*.parquet'")
+    assert same(chat.op8_chat_format(spark, root), other.sql(chat.OP8_SQL)) == 2
+
+
+def test_chat_parts_of_unknown_kinds(spark):
+    part = "struct<type:string,text:string,ref:string,n_tokens:int>"
+    df = spark.createDataFrame([(1, 0, "user", [("video", "a<b", None, None), (None, "c", None, None)])], f"conv_id long, turn long, role string, parts array<{part}>")
+    got = {r.conv_id: r for r in chat.format_conversations(df.unionByName(df.selectExpr("2L as conv_id", "turn", "cast(null as string) as role", "cast(null as array<struct<type:string,text:string,ref:string,n_tokens:int>>) as parts")).unionByName(df.selectExpr("cast(null as long) as conv_id", "turn", "'assistant' as role", "array() as parts"))).collect()}
+    assert got[1].formatted == "<|user>a\\lbc<!>" and got[1].attachments == []
     assert got[2].formatted == "<|><!>" and got[2].n_turns == 1 and got[None].formatted == "<|assistant><!>"
 
 
