@@ -6,8 +6,8 @@ the other and indexed by a suffix array, sorted as far as the longest piece
 goes. Every piece of the vocabulary is found in it by binary search, which
 gives the range of its occurrences; the occurrences are the edges of a graph
 over the places of the text. The edges are sorted by place and relaxed: in
-every unit the edge of best score that joins two neighbouring symbols, the
-leftmost among equals, replaces them, until no edge does. That is the
+every unit, however long, the edge of best score that joins two neighbouring
+symbols, the leftmost among equals, replaces them, until no edge does. That is the
 segmentation of a byte-pair model. Symbols outside the vocabulary become
 their UTF-8 bytes.
 """
@@ -17,6 +17,8 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -33,8 +35,8 @@ from docweave.llm.common import table, text_or_empty
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Characters of text that a task encodes at a time, symbols of one suffix
-#: array, and the longest unit that is relaxed in arrays.
-CHUNK_CHARS, INDEX_SYMBOLS, LONGEST_UNIT = 6_000_000, 400_000, 64
+#: array, and the longest unit that is relaxed in rounds over arrays; longer ones use a heap.
+CHUNK_CHARS, INDEX_SYMBOLS, ARRAY_UNIT = 6_000_000, 400_000, 64
 NEVER = np.iinfo(np.int32).max
 UNITS = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 
@@ -48,6 +50,10 @@ class Model:
     special: list[bool]
     bytes_: dict[int, int]
     unknown: int
+    digest: str = ""
+
+    def __post_init__(self) -> None:
+        self.digest = hashlib.sha256(repr((self.pieces, self.scores, self.special, sorted(self.bytes_.items()), self.unknown)).encode("utf-8", "surrogatepass")).hexdigest()
 
     @staticmethod
     def load(path: str = MODEL) -> Model:
@@ -69,7 +75,7 @@ class Encoder:
         self.model = model
         ids = np.array([i for i, s in enumerate(model.special) if not s])
         texts = [model.pieces[i] for i in ids]
-        self.ids, self.by_text = ids, dict(zip(texts, ids.tolist()))
+        self.ids = ids
         # equal scores have equal ranks; the leftmost edge wins among them
         _, rank = np.unique(-np.array([model.scores[i] for i in ids]), return_inverse=True)
         self.rank = np.full(len(model.pieces), NEVER, np.int32)
@@ -175,15 +181,25 @@ class Encoder:
             self.fallback[symbol] = [self.model.bytes_[b] for b in data] if self.model.bytes_ else [self.model.unknown]
         return self.fallback[symbol]
 
-    def long_unit(self, unit: str) -> list[int]:
-        """The ids of one long unit, by a heap of edges instead of arrays."""
-        n, text = len(unit), unit
+    def merge(self, n: int, places: array, pieces: list[int]) -> tuple[list[int], list[int]]:
+        """(place, piece or -1) of the symbols that remain in one long unit: the same relaxation with a heap, so that time grows with the length times its logarithm.
+
+        places: the unit's edges as place * (longest + 1) + length, sorted; pieces: their pieces.
+        """
+        wide = self.longest + 1
         end, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        alive, heap = [True] * n, []
+        alive, heap = bytearray(b"\1" * n), []
+
+        def edge(a: int, e: int) -> int:
+            if e - a >= wide:
+                return -1
+            key = a * wide + e - a
+            i = bisect_left(places, key)
+            return pieces[i] if i < len(places) and places[i] == key else -1
 
         def offer(a: int) -> None:
             b = end[a]
-            if b < n and end[b] - a <= self.longest and (i := self.by_text.get(text[a : end[b]])) is not None:
+            if b < n and (i := edge(a, end[b])) >= 0:
                 heapq.heappush(heap, (int(self.rank[i]), a, b, end[b]))
 
         for a in range(n - 1):
@@ -192,48 +208,83 @@ class Encoder:
             _, a, b, e = heapq.heappop(heap)
             if not (alive[a] and b < n and alive[b] and end[a] == b and end[b] == e):
                 continue
-            alive[b], end[a] = False, e
+            alive[b], end[a] = 0, e
             if e < n:
                 before[e] = a
                 offer(a)
             if before[a] >= 0:
                 offer(before[a])
-        out, a = [], 0
+        at, found, a = [], [], 0
         while a < n:
-            i = self.by_text.get(text[a : end[a]])
-            out += [i] if i is not None else self.outside(text[a : end[a]])
+            at.append(a)
+            found.append(edge(a, end[a]))
             a = end[a]
-        return out
-
-    def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids of all units, where each unit's ids begin, how many it has)."""
+        return at, found
+
+    def spell(self, codes: np.ndarray, ids: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols (their first characters, pieces, units) with those that are no piece as the ids of their character."""
+        strange = np.flatnonzero(ids < 0)
+        if not len(strange):
+            return ids, unit
+        spelt = [self.outside(chr(c)) for c in codes[strange].tolist()]
+        wide = np.ones(len(ids), np.int64)
+        wide[strange] = [len(x) for x in spelt]
+        ids, unit = np.repeat(ids, wide), np.repeat(unit, wide)
+        ids[ids < 0] = [y for x in spelt for y in x]
+        return ids, unit
+
+    def batches(self, sizes: np.ndarray, symbols: int) -> list[np.ndarray]:
+        """Runs of units with about so many symbols each, separators included; a longer unit is a run of its own."""
+        group = np.cumsum(sizes + 1) // symbols
+        alone = sizes >= symbols
+        new = (np.diff(group) > 0) | alone[1:] | alone[:-1] if len(sizes) else np.zeros(0, bool)
+        return np.split(np.arange(len(sizes)), np.flatnonzero(new) + 1) if len(sizes) else []
+
+    def encode_units(self, units: list[str], symbols: int = INDEX_SYMBOLS, arrays: int = ARRAY_UNIT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all units, where each unit's ids begin, how many it has).
+
+        symbols: of one suffix array. All edges come of suffix arrays; units
+        of more than `arrays` characters are relaxed by merge(). A unit longer
+        than a suffix array is indexed in parts that overlap by the longest
+        piece, and its edges are put together.
+        """
+        wide = self.longest + 1
         sizes = np.fromiter(map(len, units), np.int64, len(units))
-        short = np.flatnonzero(sizes <= LONGEST_UNIT)
         flat, starts, counts, held = [], np.zeros(len(units), np.int64), np.zeros(len(units), np.int64), 0
-        for i in np.flatnonzero(sizes > LONGEST_UNIT).tolist():
-            flat.append(np.array(self.long_unit(units[i]), np.int32))
-            starts[i], counts[i] = held, len(flat[-1])
-            held += len(flat[-1])
-        group = np.cumsum(sizes[short] + 1) // INDEX_SYMBOLS
-        for mine in np.split(short, np.flatnonzero(np.diff(group)) + 1) if len(short) else ():
+
+        def put(which: np.ndarray, ids: np.ndarray, unit: np.ndarray) -> None:
+            nonlocal held
+            per_unit = np.bincount(unit, minlength=len(which))
+            counts[which] = per_unit
+            starts[which] = held + np.cumsum(per_unit) - per_unit
+            flat.append(ids.astype(np.int32))
+            held += len(ids)
+
+        for mine in self.batches(sizes, symbols):
             # units stand one after the other, with a symbol that no piece has between them
             codes = np.frombuffer("\n".join([units[i] for i in mine.tolist()]).encode("utf-32-le", "surrogatepass"), np.uint32)
             n = sizes[mine]
-            table = self.edges(self.symbols(codes))
-            unit, place, length = self.relax(table, np.cumsum(n + 1) - (n + 1), n)
-            ids = table[place, length]
-            strange = np.flatnonzero(ids < 0)
-            if len(strange):
-                spelt = [self.outside(chr(c)) for c in codes[place[strange]].tolist()]
-                wide = np.ones(len(ids), np.int64)
-                wide[strange] = [len(x) for x in spelt]
-                ids, unit = np.repeat(ids, wide), np.repeat(unit, wide)
-                ids[ids < 0] = [y for x in spelt for y in x]
-            per_unit = np.bincount(unit, minlength=len(mine))
-            counts[mine] = per_unit
-            starts[mine] = held + np.cumsum(per_unit) - per_unit
-            flat.append(ids.astype(np.int32))
-            held += len(ids)
+            begin = np.cumsum(n + 1) - (n + 1)
+            known = self.symbols(codes)
+            # several units are in one suffix array, a single one may need parts
+            step = max(len(codes), 1) if len(mine) > 1 else symbols
+            in_arrays = (n <= arrays) & (len(codes) <= step)
+            short, long = np.flatnonzero(in_arrays), np.flatnonzero(~in_arrays)
+            keys, found = array("q"), []
+            for part in range(0, len(codes), step):
+                table = self.edges(known[part : part + step + self.longest])[:step]
+                if len(long):
+                    cell = np.flatnonzero(table.ravel() >= 0)
+                    keys.frombytes((cell + part * wide).tobytes())
+                    found += table.ravel()[cell].tolist()
+            if len(short):
+                unit, place, length = self.relax(table, begin[short], n[short])
+                put(mine[short], *self.spell(codes[place], table[place, length], unit))
+            for k in long.tolist():
+                lo, hi = bisect_left(keys, int(begin[k]) * wide), bisect_left(keys, int(begin[k] + n[k]) * wide)
+                own = array("q", (np.frombuffer(keys, np.int64)[lo:hi] - int(begin[k]) * wide).tobytes())
+                at, got = self.merge(int(n[k]), own, found[lo:hi])
+                put(mine[k : k + 1], *self.spell(codes[int(begin[k]) + np.array(at)], np.array(got), np.zeros(len(got), np.int64)))
         return (np.concatenate(flat) if flat else np.zeros(0, np.int32)), starts, counts
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -265,12 +316,12 @@ class Decoder:
         return b"".join(map(self.data.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
 
 
-_prepared: dict[int, tuple[Encoder, Decoder]] = {}
+_prepared: dict[str, tuple[Encoder, Decoder]] = {}
 
 
 def _tools(model: Model) -> tuple[Encoder, Decoder]:
     """A worker prepares a vocabulary once."""
-    key = hash((len(model.pieces), model.pieces[len(model.pieces) // 2], model.pieces[-1], sum(model.scores)))
+    key = model.digest
     if key not in _prepared:
         _prepared.clear()
         _prepared[key] = (Encoder(model), Decoder(model))

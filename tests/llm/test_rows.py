@@ -418,6 +418,28 @@ def test_pieces_equal_the_library(tools, table_of):
         assert decoder.decode(want) == library.decode(want)
 
 
+def test_long_units_take_their_edges_from_the_suffix_array(tools, monkeypatch):
+    """Text without spaces, longer than a suffix array, against the library; and without edges nothing is joined."""
+    encoder, _, library = tools
+    rng = random.Random(6)
+    units = ["梦想的天空之城" * 80, "".join(rng.choice("theandingofre") for _ in range(5000)), "=" * 700, "short", "".join(rng.choice("ab梦c🦀") for _ in range(901)), "x" * 64, "y" * 65]
+    units += ["".join(rng.choice("aethr") for _ in range(rng.randint(1, 90))) for _ in range(80)]
+    for symbols in (300, 1000, 400_000):
+        for arrays in (3, 64):
+            ids, starts, counts = encoder.encode_units(["▁" + u for u in units], symbols, arrays)
+            assert [ids[a : a + n].tolist() for a, n in zip(starts, counts)] == [library.encode(u) for u in units]
+    monkeypatch.setattr(encoder, "edges", lambda symbols: np.full((len(symbols), encoder.longest + 1), -1, np.int32))
+    ids, starts, counts = encoder.encode_units(["the" * 100])
+    assert counts[0] >= 300
+
+
+def test_vocabularies_of_one_size_are_told_apart():
+    a, b = (pieces.Model(["<unk>", "▁a", x, "b"], [0.0, -1.0, -2.0, -3.0], [True, False, False, False], {}, 0) for x in ("c", "d"))
+    c = pieces.Model(["<unk>", "▁a", "c", "b"], [0.0, -2.0, -1.0, -3.0], [True, False, False, False], {}, 0)
+    assert len({a.digest, b.digest, c.digest}) == 3
+    assert pieces._tools(a)[0].ids is not pieces._tools(b)[0].ids
+
+
 def test_suffix_array_is_sorted(tools):
     encoder = tools[0]
     symbols = encoder.symbols(np.frombuffer(("banana bandana " * 20).encode("utf-32-le"), np.uint32))
