@@ -3,22 +3,24 @@
 A window is WINDOW consecutive words of a document. Words are removed that
 stand in a window whose words also start earlier in the corpus.
 
-1. Confirm phrases. Of the PHRASE-word phrases within a window, the one with
-   the least hash is its phrase; equal windows have equal phrases. Phrases
-   are counted over all documents, and those that occur twice or more recur.
-2. Compile automata. A phrase is written as a string with one letter per word
-   (a byte of the word's hash); the recurring phrases are dealt out to shards
-   by a hash, and each shard is compiled to an Aho-Corasick automaton.
-3. Stream the documents. Every task streams its documents through all shards
-   and so finds every occurrence of a recurring phrase. Only windows around
-   those are compared, by a 64-bit hash of their words, for the earliest
-   occurrence of each window that occurs twice or more.
-4. Remove. Documents are streamed once more past the recurring windows, in
-   shards by hash range, and the covered words are cut out in place.
-
-Texts are never shuffled. A task holds CHUNK_BYTES of text, one automaton and
-one shard of windows at a time. Streaming past all shards makes the work grow
-with (documents x shards) once there are many shards.
+1. Confirm passages. All windows are counted by a 64-bit hash, each chunk of
+   documents counting its own first; those that occur twice or more recur.
+   Windows that follow each other where they occur first make one passage if
+   they always occur together: the same number of times, and with the same sum
+   of marks, random numbers that tell documents and places apart.
+2. Compile automata. A passage is known by its first WINDOW words. These are
+   taken from the document where it occurs first, dealt out to shards by a
+   hash, and each shard is compiled to an Aho-Corasick automaton with one
+   letter for each different word.
+3. Stream all documents. Every task streams its documents through one
+   automaton after the other. A hit is an occurrence of a passage, word for
+   word; unless it is the first one, the words of all the passage's windows
+   are marked, and in the end they are cut out in place.
+
+What is cut follows from the hits alone. Texts are shuffled once, to take the
+passages' words from them. A task holds a chunk of text and a few automata.
+The work of step 3 grows with the words times the shards, that is with the
+words times the number of different recurring passages.
 """
 
 from __future__ import annotations
@@ -33,25 +35,26 @@ from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.parquet as pq
 import xxhash
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docweave.llm.common import WHITE, WHITE_RUN, fresh_path, table, text_or_empty, written
+from docweave.llm.common import WHITE, WHITE_RUN, discard, fresh_path, table, text_or_empty, written
 
-WINDOW, PHRASE = 20, 5
-SPAN = WINDOW - PHRASE + 1
-#: Phrases of an automaton, windows of a shard, and bytes of text that a task holds at a time.
-PHRASES_PER_SHARD, WINDOWS_PER_SHARD, CHUNK_BYTES = 1_500_000, 1_000_000, 4 << 20
-#: Automata that a worker process keeps for its next tasks.
-KEPT_AUTOMATA = 1
+WINDOW = 20
+#: Passages of an automaton (so its different words fit an alphabet of Unicode's size), bytes of text
+#: that a task holds at a time, and windows that a task compares.
+PASSAGES_PER_SHARD, CHUNK_BYTES, WINDOWS_PER_TASK = 50_000, 16 << 20, 1_000_000
+#: Automata that a worker process keeps for its next chunk.
+KEPT_AUTOMATA = 3
 #: A null id counts as the greatest.
 LAST = (1 << 63) - 1
+#: An odd number of high order modulo 2^64, and its inverse.
+STRIDE = np.uint64(0x9E3779B97F4A7C15)
+BACK = pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -62,31 +65,36 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Chunk:
-    """The words of some documents as hashes, one after the other."""
+    """The words of some documents as codes, one document after the other, each with a 0 in front that is no word."""
 
     def __init__(self, texts: list[str]):
-        digest = xxhash.xxh3_64_intdigest
-        parts = [np.fromiter(map(digest, ws), np.uint64, len(ws)) for ws in (t.encode().split() for t in texts)]
+        known: dict[bytes, int] = {b"": 0}
+        code = known.setdefault
+        parts = [np.fromiter((code(w, len(known)) for w in ws), np.int32, len(ws)) for ws in (t.encode().split() for t in texts)]
+        self.vocabulary = list(known)
         self.sizes = np.array([len(p) for p in parts], dtype=np.int64)
-        self.starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1])) if len(parts) else np.zeros(0, np.int64)
-        self.words = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-        n = len(self.words)
-        doc = np.repeat(np.arange(len(parts)), self.sizes)
-        inside = np.arange(n) - self.starts[doc] if n else np.zeros(0, np.int64)
+        gap = np.zeros(1, np.int32)
+        self.codes = np.concatenate([x for p in parts for x in (gap, p)]) if parts else gap[:0]
+        #: where each document's words begin
+        self.starts = np.cumsum(self.sizes + 1) - self.sizes
+        doc = np.repeat(np.arange(len(parts)), self.sizes + 1)
+        inside = np.arange(len(self.codes)) - self.starts[doc] if parts else np.zeros(0, np.int64)
         #: places where a window begins, and their documents and places there
-        self.at = np.flatnonzero(inside + WINDOW <= self.sizes[doc]) if n else np.zeros(0, np.int64)
+        self.at = np.flatnonzero((inside >= 0) & (inside + WINDOW <= self.sizes[doc])) if parts else np.zeros(0, np.int64)
         self.doc, self.place = doc[self.at], inside[self.at]
 
     def windows(self) -> np.ndarray:
         """A hash of the words of each window: a polynomial, put together from those of 2, 4, 8, ... words."""
         if not len(self.at):
             return np.zeros(0, np.uint64)
+        digest = xxhash.xxh3_64_intdigest
+        words = np.fromiter(map(digest, self.vocabulary), np.uint64, len(self.vocabulary))[self.codes]
         total, reach = None, 0
-        part, size, factor = self.words, 1, np.uint64(0x9E3779B97F4A7C15)
+        part, size, factor = words, 1, STRIDE
         with np.errstate(over="ignore"):
             while True:
                 if WINDOW & size:
-                    n = len(self.words) - reach - size + 1
+                    n = len(words) - reach - size + 1
                     total = part[:n] if total is None else total[:n] * factor + part[reach : reach + n]
                     reach += size
                 if reach == WINDOW:
@@ -94,37 +102,14 @@ class Chunk:
                 part = part[:-size] * factor + part[size:]
                 size, factor = size * 2, factor * factor
 
-    def letters(self) -> np.ndarray:
-        return (self.words >> np.uint64(56)).astype(np.uint8)
 
-    def phrases(self) -> tuple[np.ndarray, np.ndarray]:
-        """The phrase that begins at each place, its words' letters as one number; and for each window the place of its phrase."""
-        if not len(self.at):
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        n = len(self.words) - PHRASE + 1
-        letters, packed = self.letters().astype(np.uint64), np.zeros(n, np.uint64)
-        for k in range(PHRASE):
-            packed = (packed << np.uint64(8)) | letters[k : n + k]
-        least, where = _mix(packed), np.arange(n, dtype=np.int32)
-        # the least of 1, 2, 4, ... places from each place on, the leftmost among equals
-        reach = 1
-        while reach < SPAN:
-            step = min(reach, SPAN - reach)
-            less = least[step:] < least[:-step]
-            least = np.where(less, least[step:], least[:-step])
-            where = np.where(less, where[step:], where[:-step])
-            reach += step
-        where = where[self.at].astype(np.int64)
-        return packed, where
-
-
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with about CHUNK_BYTES of text each; a longer text is a run of its own. Only a run's texts become Python strings."""
+def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about `size` bytes of text each; a longer text is a run of its own. Only a run's texts become Python strings."""
     through = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False))
     begin = 0
     while begin < batch.num_rows:
         held = through[begin - 1] if begin else 0
-        end = max(begin + 1, int(np.searchsorted(through, held + CHUNK_BYTES, "right")))
+        end = max(begin + 1, int(np.searchsorted(through, held + size, "right")))
         yield batch.slice(begin, end - begin)
         begin = end
 
@@ -141,170 +126,204 @@ def _open(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-_automata: OrderedDict[str, ahocorasick.Automaton] = OrderedDict()
+#: How a window's occurrences are summed up: its hash, its first occurrence (document, place), their number, and the sum of their marks.
+COUNTED = {"window": pa.int64(), "doc_id": pa.int64(), "sum": pa.int64(), "place": pa.int32(), "n": pa.int64(), "marks": pa.int64()}
+COUNTED_DDL = "window long, doc_id long, sum long, place int, n long, marks long"
 
 
-def _automaton(path: str) -> ahocorasick.Automaton:
-    """A compiled shard; a worker keeps the last few it used."""
-    if path in _automata:
-        _automata.move_to_end(path)
-        return _automata[path]
-    while len(_automata) >= KEPT_AUTOMATA:
-        _automata.popitem(last=False)
-    where, name = _open(path)
-    with where.open_input_file(name) as f:
-        # read in parts: the file and the automaton aren't held whole at once more often than needed
-        _automata[path] = pickle.load(io.BufferedReader(f, 1 << 20))
-    return _automata[path]
-
-
-def count_phrases(docs: DataFrame) -> DataFrame:
-    """The phrases of all windows that occur twice or more, as numbers."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for part in _slices(b):
-                packed, where = Chunk(part["text"].to_pylist()).phrases()
-                value, n = np.unique(packed[np.unique(where)], return_counts=True)
-                yield pa.RecordBatch.from_pydict({"phrase": value.astype(np.int64), "n": n.astype(np.int64)})
-        _give_back()
-
-    return docs.select("text").mapInArrow(count, "phrase long, n long").groupBy("phrase").agg(F.sum("n").alias("n")).where("n > 1").select("phrase")
-
-
-def compile_automata(phrases: DataFrame, folder: str) -> list[str]:
-    """Compiles the phrases, dealt out to shards by a hash, to automata in the folder; their paths. A shard holds about PHRASES_PER_SHARD phrases."""
-    shards = -(-phrases.count() // PHRASES_PER_SHARD)
-    if not shards:
-        return []
+def power(base: int, exponent: np.ndarray) -> np.ndarray:
+    """base to whole powers, modulo 2^64."""
+    out, b, e = np.ones(len(exponent), np.uint64), np.uint64(base), exponent.astype(np.uint64)
+    with np.errstate(over="ignore"):
+        while e.any():
+            out = np.where(e & np.uint64(1), out * b, out)
+            b, e = b * b, e >> np.uint64(1)
+    return out
 
-    def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        a = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_STRING)
-        # a phrase is a number of PHRASE bytes, the letters of its words
-        letters = rows["phrase"].to_numpy().astype(">i8").view(np.uint8).reshape(-1, 8)[:, 8 - PHRASE :].tobytes().decode("latin-1")
-        for i in range(0, len(letters), PHRASE):
-            a.add_word(letters[i : i + PHRASE])
-        a.make_automaton()
-        where, root = _open(folder)
-        where.create_dir(root, recursive=True)
-        # a repeated task writes another file; only the file of the task that counts is reported
-        name = f"shard-{key[0]}-{uuid.uuid4().hex}"
-        data = pickle.dumps(a)
-        a.clear()
-        with where.open_output_stream(f"{root}/{name}", compression=None) as f:
-            f.write(data)
-        del data
-        _give_back()
-        return pd.DataFrame({"name": [name]})
 
-    dealt = phrases.withColumn("shard", F.pmod(F.xxhash64("phrase"), F.lit(shards)).cast("int"))
-    built = written(dealt.groupBy("shard").applyInPandas(build, "name string"), "automata")
-    return sorted(f"{folder}/{r['name']}" for r in built.collect())
+def marks_of(doc: np.ndarray, total: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A mark of each place: a random number of the document times STRIDE to the power of the place, so that a step along all documents multiplies any sum of marks by STRIDE."""
+    with np.errstate(over="ignore"):
+        powers = np.full(int(place.max(initial=0)) + 1, STRIDE)
+        powers[0] = 1
+        return _mix(_mix(doc.astype(np.uint64)) ^ total.astype(np.uint64)) * np.multiply.accumulate(powers)[place]
 
 
-def _earliest(window: np.ndarray, doc: np.ndarray, place: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
-    """Each window once, with its earliest document and place and the sum of n."""
-    if not len(window):
-        return {"window": window, "doc_id": doc, "place": place, "n": n}
-    order = np.argsort(window, kind="stable")
-    window, doc, place, n = window[order], doc[order], place[order], n[order]
+def summed(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Rows of COUNTED with each window once. Of occurrences at the same place of documents that share an id any may be the first."""
+    if not len(rows["window"]):
+        return rows
+    order = np.argsort(rows["window"], kind="stable")
+    window, doc, total, place, n, marks = (rows[c][order] for c in COUNTED)
     first = np.flatnonzero(np.concatenate(([True], window[1:] != window[:-1])))
+    size = np.diff(np.append(first, len(window)))
     least = np.minimum.reduceat(doc, first)
-    mine = doc == np.repeat(least, np.diff(np.append(first, len(window))))
-    place = np.minimum.reduceat(np.where(mine, place, np.iinfo(np.int32).max), first).astype(np.int32)
-    return {"window": window[first], "doc_id": least, "place": place, "n": np.add.reduceat(n, first)}
+    mine = doc == np.repeat(least, size)
+    least_place = np.minimum.reduceat(np.where(mine, place, np.iinfo(np.int32).max), first).astype(np.int32)
+    mine &= place == np.repeat(least_place, size)
+    who = np.minimum.reduceat(np.where(mine, np.arange(len(window)), len(window)), first)
+    with np.errstate(over="ignore"):
+        marked = np.add.reduceat(marks.view(np.uint64), first).view(np.int64)
+    return {"window": window[first], "doc_id": least, "sum": total[who], "place": least_place, "n": np.add.reduceat(n, first), "marks": marked}
+
 
+def _record(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(rows[c], t) for c, t in COUNTED.items()], list(COUNTED))
 
-def locate(docs: DataFrame, automata: list[str]) -> DataFrame:
-    """The windows around recurring phrases: (window, doc_id, place, n), for each chunk of documents every window once, with its earliest place and its number."""
 
-    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def count_windows(docs: DataFrame, chunk: int = CHUNK_BYTES) -> DataFrame:
+    """docs (doc_id, sum, text) -> rows of COUNTED, for each chunk of documents every window once."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _give_back()
         for b in batches:
-            for part in _slices(b):
-                chunk = Chunk(part["text"].to_pylist())
-                _, where = chunk.phrases()
-                if not len(where):
-                    continue
-                text, hit = chunk.letters().tobytes().decode("latin-1"), np.zeros(len(chunk.words), bool)
-                for path in automata:
-                    ends = np.fromiter((e for e, _ in _automaton(path).iter(text)), np.int64)
-                    hit[ends - (PHRASE - 1)] = True
-                found = np.flatnonzero(hit[where])
-                window = chunk.windows()[found]
-                doc, place = part["doc_id"].to_numpy()[chunk.doc[found]], chunk.place[found]
-                yield pa.RecordBatch.from_pydict(_earliest(window.astype(np.int64), doc, place.astype(np.int32), np.ones(len(window), np.int64)))
-        _give_back(automata=False)
+            for part in _slices(b, chunk // 2):
+                c = Chunk(part["text"].to_pylist())
+                doc, total, place = part["doc_id"].to_numpy()[c.doc], part["sum"].to_numpy()[c.doc], c.place.astype(np.int32)
+                marks = marks_of(doc, total, place).view(np.int64)
+                yield _record(summed({"window": c.windows().view(np.int64), "doc_id": doc, "sum": total, "place": place, "n": np.ones(len(doc), np.int64), "marks": marks}))
+        _give_back()
 
-    return docs.select("doc_id", "text").mapInArrow(stream, "window long, doc_id long, place int, n long")
+    return docs.select("doc_id", "sum", "text").mapInArrow(count, COUNTED_DDL)
 
 
-def earliest(located: DataFrame) -> DataFrame:
-    """Of the located windows those that occur twice or more: (window, doc_id, place) of the earliest occurrence."""
-    columns = ["window", "doc_id", "place"]
+def recurring(counted: DataFrame, tasks: int) -> DataFrame:
+    """The windows that occur twice or more, summed up over all chunks; their marks as they would be if the first occurrence stood at place 0."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _give_back()
         held = [b for b in batches if b.num_rows]
         if not held:
             return
         rows = pa.Table.from_batches(held)
         held.clear()
-        found = _earliest(*(rows[c].to_numpy() for c in (*columns, "n")))
+        found = summed({c: rows[c].to_numpy() for c in COUNTED})
         again = found["n"] > 1
-        yield pa.RecordBatch.from_pydict({c: found[c][again] for c in columns})
+        found = {c: x[again] for c, x in found.items()}
+        with np.errstate(over="ignore"):
+            found["marks"] = (found["marks"].view(np.uint64) * power(BACK, found["place"])).view(np.int64)
+        yield _record(found)
         del rows, found
         _give_back()
 
     # a partition holds whole windows; a frequent one has a row for each chunk of documents at most
-    return located.repartition("window").mapInArrow(gather, "window long, doc_id long, place int")
+    return counted.repartition(tasks, "window").mapInArrow(gather, COUNTED_DDL)
 
 
-def store_windows(windows: DataFrame, folder: str) -> list[tuple[str, int, int]]:
-    """Writes the windows to shards by hash range; (path, least, greatest) of each."""
-    shards = max(1, -(-windows.count() // WINDOWS_PER_SHARD))
-    ordered = windows.repartitionByRange(shards, "window").sortWithinPartitions("window")
+def passages(windows: DataFrame) -> DataFrame:
+    """Recurring windows -> (doc_id, sum, place, length, window, ending): runs of windows that always occur together, where they occur first, with the hashes of the first and the last of them."""
+    w = Window.partitionBy("doc_id", "sum").orderBy("place")
+    before = {c: F.lag(c).over(w) for c in ("place", "n", "marks")}
+    goes_on = (before["place"] + 1 == F.col("place")) & (before["n"] == F.col("n")) & (before["marks"] == F.col("marks"))
+    runs = windows.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(w))
+    return runs.groupBy("doc_id", "sum", "_run").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("length"), F.min_by("window", "place").alias("window"), F.max_by("window", "place").alias("ending")).drop("_run")
 
-    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _give_back()
+
+def with_words(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The passages with `words`: their first WINDOW words, joined by single spaces, from the document where they occur first."""
+    heads = found.groupBy("doc_id", "sum").agg(F.collect_list(F.struct("place", "length", "window", "ending")).alias("heads"))
+    # rows that repeat a document give its passages once
+    texts = docs.select("doc_id", "sum", "text").join(heads, ["doc_id", "sum"])
+    names = ["doc_id", "place", "length", "window", "ending", "words"]
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                doc, text, mine = b["doc_id"][k].as_py(), b["text"][k].as_py().encode().split(), b["heads"][k].as_py()
+                rows = [(doc, h["place"], h["length"], h["window"], h["ending"], b" ".join(text[h["place"] : h["place"] + WINDOW]).decode()) for h in mine]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string()))], names)
+
+    return texts.mapInArrow(take, "doc_id long, place int, length long, window long, ending long, words string")
+
+
+def letter(k: int) -> str:
+    """The k-th letter, without surrogates."""
+    return chr(k if k < 0xD800 else k + 0x800)
+
+
+def compile_automata(found: DataFrame, folder: str, per_shard: int = PASSAGES_PER_SHARD) -> list[str]:
+    """Compiles the passages (with words), dealt out to shards by a hash, to automata in the folder; their paths, one for about per_shard passages."""
+    shards = -(-found.count() // per_shard)
+    if not shards:
+        return []
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
             return
         rows = pa.Table.from_batches(held)
-        key = rows["window"]
         where, root = _open(folder)
         where.create_dir(root, recursive=True)
-        name = f"windows-{uuid.uuid4().hex}"
-        with where.open_output_stream(f"{root}/{name}", compression=None) as f:
-            pq.write_table(rows, f, compression="none", use_dictionary=False)
-        yield pa.RecordBatch.from_pydict({"name": [name], "low": [key[0].as_py()], "high": [key[-1].as_py()]})
-
-    stored = written(ordered.mapInArrow(store, "name string, low long, high long"), "windows")
-    return sorted((f"{folder}/{r['name']}", r["low"], r["high"]) for r in stored.collect())
-
-
-def _covered(chunk: Chunk, ids: np.ndarray, shards: list[tuple[str, int, int]]) -> np.ndarray:
-    """Which words of a chunk stand in a window that also starts earlier."""
-    begins = [np.zeros(0, np.int64)]
-    window = chunk.windows().astype(np.int64)
-    order = np.argsort(window, kind="stable")
-    window = window[order]
-    for path, low, high in shards:
-        lo, hi = np.searchsorted(window, low, "left"), np.searchsorted(window, high, "right")
-        if lo == hi:
-            continue
-        where, name = _open(path)
-        with where.open_input_file(name) as f:
-            known = pq.read_table(f)
-        key = known["window"].to_numpy()
-        i = np.searchsorted(key, window[lo:hi])
-        i[i == len(key)] = 0
-        same = key[i] == window[lo:hi]
-        i, o = i[same], order[lo:hi][same]
-        doc, place = known["doc_id"].to_numpy()[i], known["place"].to_numpy()[i]
-        later = (ids[chunk.doc[o]] != doc) | (chunk.place[o] != place)
-        begins.append(chunk.at[o[later]])
-    begin, n = np.concatenate(begins), len(chunk.words) + 1
-    return np.cumsum(np.bincount(begin, minlength=n) - np.bincount(begin + WINDOW, minlength=n))[:-1] > 0
+        names = []
+        shard = rows["shard"].to_numpy()
+        for k in np.unique(shard).tolist():
+            mine = rows.filter(pa.array(shard == k))
+            a = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_STRING)
+            letters: dict[bytes, str] = {}
+            for i, words in enumerate(mine["words"].to_pylist()):
+                a.add_word("".join([letters.setdefault(w, letter(len(letters) + 1)) for w in words.encode().split()]), i)
+            a.make_automaton()
+            facts = {c: mine[c].to_numpy() for c in ("doc_id", "place", "length", "ending")}
+            # a repeated task writes another file; only the file of the task that counts is reported
+            names.append(f"shard-{k}-{uuid.uuid4().hex}")
+            with where.open_output_stream(f"{root}/{names[-1]}", compression=None) as f:
+                pickle.dump((a, letters, facts), f, protocol=pickle.HIGHEST_PROTOCOL)
+            del a, letters
+            _give_back()
+        yield pa.RecordBatch.from_pydict({"name": pa.array(names, pa.string())})
+
+    dealt = found.dropDuplicates(["window", "words"]).withColumn("shard", F.pmod(F.xxhash64("window"), F.lit(shards)).cast("int"))
+    built = written(dealt.repartition(shards, "shard").mapInArrow(build, "name string"), "automata")
+    return sorted(f"{folder}/{r['name']}" for r in built.collect())
+
+
+_automata: OrderedDict[str, tuple] = OrderedDict()
+
+
+def _automaton(path: str) -> tuple[ahocorasick.Automaton, dict[bytes, str], dict[str, np.ndarray]]:
+    """A compiled shard; a worker keeps the last few it used."""
+    if path in _automata:
+        _automata.move_to_end(path)
+        return _automata[path]
+    while len(_automata) >= KEPT_AUTOMATA:
+        _automata.popitem(last=False)
+    where, name = _open(path)
+    with where.open_input_file(name) as f:
+        # read in parts: the file and the automaton aren't held whole at once more often than needed
+        _automata[path] = pickle.load(io.BufferedReader(f, 1 << 20))
+    return _automata[path]
+
+
+def occurrences(chunk: Chunk, path: str) -> tuple[np.ndarray, ...]:
+    """(place in the chunk, document, place, length, ending) of the passages of one automaton that are found in a chunk; document and place are those of the first occurrence."""
+    automaton, letters, facts = _automaton(path)
+    get = letters.get
+    alphabet = np.array([ord(get(w, "\0")) for w in chunk.vocabulary], np.uint32)
+    text = alphabet[chunk.codes].tobytes().decode("utf-32-le")
+    hits = np.array(list(automaton.iter(text)), np.int64).reshape(-1, 2)
+    return (hits[:, 0] - (WINDOW - 1), *(facts[c][hits[:, 1]] for c in ("doc_id", "place", "length", "ending")))
+
+
+def covered(chunk: Chunk, ids: np.ndarray, automata: list[str]) -> np.ndarray:
+    """Which words of a chunk, by place in it, stand in a window that also starts earlier."""
+    n = len(chunk.codes) + 1
+    change = np.zeros(n, np.int64)
+    if not len(chunk.at):
+        return np.zeros(n - 1, bool)
+    window, doc = chunk.windows().view(np.int64), np.repeat(np.arange(len(chunk.sizes)), chunk.sizes + 1)
+    number = np.full(n - 1, -1)
+    number[chunk.at] = np.arange(len(chunk.at))
+    # the other way round each time, so that the automata at the end are still there
+    for path in automata if not _automata or automata[0] in _automata else reversed(automata):
+        at, first, place, length, ending = occurrences(chunk, path)
+        later = (ids[doc[at]] != first) | (at - chunk.starts[doc[at]] != place)
+        at, length, ending = at[later], length[later], ending[later]
+        # the windows of a passage occur together; the last one is looked at
+        final = np.minimum(at + length - 1, n - 2)
+        whole = (number[final] >= 0) & (doc[final] == doc[at]) & (window[number[final]] == ending)
+        at, length = at[whole], length[whole]
+        np.add.at(change, at, 1)
+        np.add.at(change, at + length + WINDOW - 1, -1)
+    return np.cumsum(change)[:-1] > 0
 
 
 def _without(text: str, gone: list[bool]) -> str:
@@ -321,17 +340,16 @@ def _without(text: str, gone: list[bool]) -> str:
     return b"\n".join(lines).decode()
 
 
-def cut_repeats(docs: DataFrame, shards: list[tuple[str, int, int]]) -> DataFrame:
+def cut_repeats(docs: DataFrame, automata: list[str], chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """docs (doc_id, text, further columns) with `kept` (the text of the words that stay) in place of text, n_words and n_removed."""
     names = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _give_back()
         for b in batches:
-            for part in _slices(b):
+            for part in _slices(b, chunk_bytes):
                 texts = part["text"].to_pylist()
                 chunk = Chunk(texts)
-                gone = _covered(chunk, part["_order"].to_numpy(), shards)
+                gone = covered(chunk, part["_order"].to_numpy(), automata)
                 total = np.concatenate(([0], np.cumsum(gone)))
                 removed = total[chunk.starts + chunk.sizes] - total[chunk.starts]
                 kept = [
@@ -339,12 +357,12 @@ def cut_repeats(docs: DataFrame, shards: list[tuple[str, int, int]]) -> DataFram
                 ]
                 others = [c for c in part.schema.names if c != "text"]
                 yield pa.RecordBatch.from_arrays([*[part[c] for c in others], pa.array(kept, pa.string()), pa.array(chunk.sizes), pa.array(removed)], [*others, "kept", "n_words", "n_removed"])
-        _give_back()
+        _give_back(automata=False)
 
     return docs.mapInArrow(cut, f"{', '.join(names)}, kept string, n_words long, n_removed long")
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, chunk: int = CHUNK_BYTES, per_shard: int = PASSAGES_PER_SHARD, per_task: int = WINDOWS_PER_TASK) -> DataFrame:
     """docs (doc_id, text, further columns) -> all columns but text, with `kept` (the text of the words that stay), n_words, n_removed.
 
     A text that loses nothing stays as it is; in others, lines that lose words
@@ -353,18 +371,23 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     The order of documents is that of doc_id, null last. Rows of one id are
     one document for that order: of equal windows at the same place of such
     rows none counts as the earlier, so rows that repeat a document are kept
-    or cut alike. Null texts have no words. Windows are compared by 64-bit
-    hashes. Columns named kept, n_words, n_removed or _order give way.
+    or cut alike. Null texts have no words; an empty table gives an empty one.
+    The first window of a passage is compared word for word; that the others
+    recur with it rests on 64-bit hashes and sums (about 60 bits of which are
+    random). Columns named kept, n_words, n_removed or _order give way.
     """
     spark = docs.sparkSession
     clean = docs.drop("kept", "n_words", "n_removed", "_order")
     rows = clean.withColumn("text", text_or_empty("text")).withColumn("_order", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
-    keyed = rows.select(F.col("_order").alias("doc_id"), "text")
-    folder = fresh_path(spark, "repeats")
-    phrases = written(count_phrases(keyed), "phrases")
-    automata = compile_automata(phrases, f"{folder}/automata")
-    shards = store_windows(written(earliest(locate(keyed, automata)), "earliest"), f"{folder}/windows") if automata else []
-    return cut_repeats(rows, shards).drop("_order")
+    keyed = rows.select(F.col("_order").alias("doc_id"), F.xxhash64("text").alias("sum"), "text")
+    # a word has two bytes at least, and six on average
+    size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    windows = recurring(count_windows(keyed, chunk), max(1, -(-size // (6 * per_task))))
+    found = written(passages(windows), "passages")
+    worded = written(with_words(found, keyed), "worded")
+    automata = compile_automata(worded, f"{fresh_path(spark, 'repeats')}/automata", per_shard)
+    discard(found, worded)
+    return cut_repeats(rows, automata, chunk).drop("_order")
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

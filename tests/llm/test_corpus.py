@@ -349,13 +349,17 @@ def test_order_minhash_of_odd_documents(spark, odd, folder_of):
 
 
 def plain_cut(rows):
-    """(id, text) sorted by id -> (words, which of them go)."""
-    seen, out = {}, []
-    for d, t in rows:
-        ws = WORD.findall(t or "")
+    """(id, text) -> (words, which of them go). Rows of one id, or without one, are one document."""
+    first, out = {}, []
+    texts = [(d if d is not None else 1 << 63, WORD.findall(t or "")) for d, t in rows]
+    for d, ws in texts:
+        for j in range(len(ws) - 19):
+            k = tuple(ws[j : j + 20])
+            first[k] = min(first.get(k, (d, j)), (d, j))
+    for d, ws in texts:
         gone = [False] * len(ws)
         for j in range(len(ws) - 19):
-            if seen.setdefault(tuple(ws[j : j + 20]), (d, j)) != (d, j):
+            if first[tuple(ws[j : j + 20])] != (d, j):
                 gone[j : j + 20] = [True] * 20
         out.append((ws, gone))
     return out
@@ -375,22 +379,67 @@ def test_repeats_by_plain_code(spark, sf, table_of):
     check_cut(repeats.op6_repeats(spark, sf).collect(), list(zip(docs.doc_id.tolist(), docs.text)))
 
 
-@pytest.mark.parametrize("sizes", [(1 << 20, 1 << 20, 1 << 20), (2_000, 7, 11)])
-def test_repeats_within_and_across(spark, folder_of, monkeypatch, sizes):
-    """Small chunks and shards give the same as large ones."""
-    for name, size in zip(("CHUNK_BYTES", "PHRASES_PER_SHARD", "WINDOWS_PER_SHARD"), sizes):
-        monkeypatch.setattr(repeats, name, size)
-    rng = random.Random(3)
+def digests(df):
+    joined = F.regexp_replace(F.trim("kept"), r"\s+", " ")
+    return df.select("doc_id", "n_words", "n_removed", F.sha2(joined, 256)).collect()
+
+
+def passages_of(rng, n):
     passages = [[f"p{k}_{i}" for i in range(rng.randint(15, 60))] for k in range(6)]
     rows = []
-    for d in range(40):
+    for d in range(n):
         ws = []
         for _ in range(rng.randint(0, 4)):
-            ws += [rng.choice(["x", "y", f"u{d}_{rng.random()}"]) for _ in range(rng.randint(0, 30))] + rng.choice(passages)
+            p = rng.choice(passages)
+            cut = rng.randrange(len(p)) if rng.random() < 0.4 else 0
+            ws += [rng.choice(["x", "y", f"u{d}_{rng.random()}"]) for _ in range(rng.randint(0, 30))] + p[cut:] + (p[:30] if rng.random() < 0.2 else [])
         rows.append((d, " ".join(ws)))
-    rows += [(40, "same " * 50), (41, "same " * 25), (42, "a b c d e " * 12)]
+    return rows
+
+
+@pytest.mark.parametrize("sizes", [{}, {"chunk": 2_000, "per_shard": 3, "per_task": 50}])
+def test_repeats_within_and_across(spark, sizes):
+    """Small chunks, many automata and many tasks give the same as large ones."""
+    rows = passages_of(random.Random(3), 60)
+    rows += [(60, "same " * 50), (61, "same " * 25), (62, "a b c d e " * 12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    check_cut(digests(repeats.remove_repeats(df, **sizes)), rows)
+
+
+def test_what_is_cut_follows_from_the_hits(spark, monkeypatch):
+    """Passages are confirmed before they are compiled; without the automata's hits nothing is cut, and a false hit would show."""
+    rows = passages_of(random.Random(4), 30)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    check_cut(repeats.op6_repeats(spark, folder_of(documents=df)).collect(), rows)
+    keyed = df.select("doc_id", F.xxhash64("text").alias("sum"), "text")
+    found = repeats.passages(repeats.recurring(repeats.count_windows(keyed), 3))
+    worded = [(r.words, r.doc_id, r.place, r.length) for r in repeats.with_words(found, keyed).collect()]
+    texts = [WORD.findall(t) for _, t in rows]
+    windows = Counter(tuple(ws[i : i + 20]) for ws in texts for i in range(len(ws) - 19))
+    for words, d, place, length in worded:
+        own = texts[d][place : place + 19 + length]
+        assert words == " ".join(own[:20]) and len({windows[tuple(own[i : i + 20])] for i in range(length)}) == 1 < windows[tuple(own[:20])]
+    assert sum(x[3] for x in worded) == sum(n > 1 for n in windows.values()) and len(worded) < sum(n > 1 for n in windows.values()) / 3
+    folder = spark.conf.get("spark.checkpoint.dir") + "/hits"
+    automata = repeats.compile_automata(spark.createDataFrame([(d, p, n, 0, 0, w) for w, d, p, n in worded], "doc_id long, place int, length long, window long, ending long, words string"), folder)
+    chunk, ids = repeats.Chunk([t for _, t in rows]), np.arange(30)
+    at, first, place, length, _ = repeats.occurrences(chunk, automata[0])
+    told = {(int(i), int(d), int(p)) for i, d, p in zip(at, first, place)}
+    want = {(int(chunk.starts[e]) + i, d, p) for w, d, p, _ in worded for e, ws in enumerate(texts) for i in range(len(ws) - 19) if " ".join(ws[i : i + 20]) == w}
+    assert told == want and len(want) > len(worded)
+    monkeypatch.setattr(repeats, "occurrences", lambda chunk, path: tuple(np.zeros(0, np.int64) for _ in range(5)))
+    assert not repeats.covered(chunk, ids, automata).any()
+
+
+def test_repeats_of_tied_and_large_ids(spark):
+    """Documents that share an id or have none, and ids beyond 2^53."""
+    rng = random.Random(9)
+    p = [f"p{i}" for i in range(70)]
+    big = 1 << 60
+    rows = [(5, " ".join(["a"] + p[:40])), (5, " ".join(["b"] + p[5:60])), (5, " ".join(["a"] + p[:40])), (big + 1, " ".join(p)), (big + 3, " ".join(p[20:])), (big, " ".join(["z"] * 3 + p[30:]))]
+    rows += [(None, " ".join([f"n{i}"] + p[:30] + [str(rng.random()) for _ in range(5)] + ["q"] * 25)) for i in range(4)] + [(None, None)]
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0))
+    for sizes in ({}, {"chunk": 300, "per_shard": 1, "per_task": 10}):
+        check_cut(digests(repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), **sizes)), rows)
 
 
 def test_repeats_of_odd_documents(spark, odd, folder_of):
