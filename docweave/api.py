@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.operators import kv, relational, search, subdoc
+from docweave.operators.errors import in_turn, resolve_handler
 from docweave.plans import statement
 from docweave.sources.config import Connection, connect
 from docweave.sources.keyspace import ID_FIELD, Keyspace
 from docweave.sources.read import read, read_collection
 from docweave.sources.snapshot import Collection, Store
-from docweave.sources.write import write
+from docweave.sources.write import mutate_parts, write
 from docweave.streaming import cdc
 
 
@@ -114,11 +115,15 @@ class Documents:
         batch, ordinal = self._batch(rows)
         return kv.remove(self.collection(**where), batch, ignore_if_not_found, ordinal=ordinal)
 
-    def mutate_in(self, df: DataFrame, semantics: str = "replace", bucket=None, scope=None, collection=None, **options) -> DataFrame:
-        """Path operations, one for each column header of df (see operators.subdoc); semantics: insert, replace or upsert of the document."""
+    def mutate_in(self, df: DataFrame | list[kv.MutateIn], semantics: str = "replace", bucket=None, scope=None, collection=None, **options) -> DataFrame:
+        """Path operations, one for each column header of df (see operators.subdoc), or MutateIn records, whose CAS is checked unless it is 0; semantics: insert, replace or upsert of the document."""
         mode = {"insert": "subdocInsert", "replace": "subdocReplace", "upsert": "subdocUpsert"}.get(semantics)
         if mode is None:
             raise ValueError(f"Unknown store semantics {semantics!r}")
+        if not isinstance(df, DataFrame):
+            handler = options.get("errorHandler")
+            rows = kv.part_operations(self.spark, list(df))
+            return mutate_parts(self.collection(bucket, scope, collection).create(), rows, mode, in_turn(resolve_handler(handler)) if handler is not None else None, "ordinal")
         return write(df, self.collection(bucket, scope, collection), writeMode=mode, **options)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -10,11 +11,17 @@ from pyspark.sql import functions as F
 
 from docweave.sources.keyspace import Keyspace
 
+log = logging.getLogger(__name__)
 Handler = Callable[[DataFrame], None]
 FIXED_MESSAGES = {
     "DocumentExistsException": "Document with the given id already exists",
     "DocumentNotFoundException": "Document with the given id not found",
     "CasMismatchException": "Document has changed since the given CAS value",
+    "PathExistsException": "The path already exists in the document",
+    "PathNotFoundException": "The path does not exist in the document",
+    "PathMismatchException": "The path does not fit the structure of the document",
+    "ValueInvalidException": "The value can't be used with this operation",
+    "DocumentNotJsonException": "The document is no JSON",
 }
 
 
@@ -90,10 +97,13 @@ def to_json_lines(path: str, keyspace: Keyspace) -> Handler:
 
 
 def in_turn(*handlers: Handler) -> Handler:
-    """All handlers, one after the other, on errors that are computed once."""
+    """All handlers, one after the other, on errors that are computed once. A handler that fails is logged and stops neither the others nor the mutation."""
 
     def handle(failed: DataFrame) -> None:
         for h in handlers:
-            h(failed)
+            try:
+                h(failed)
+            except Exception:
+                log.exception("an error handler failed")
 
     return handle

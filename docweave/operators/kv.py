@@ -9,13 +9,16 @@ an upsert or replace the last wins.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docweave.operators import subdoc
 from docweave.sources.keyspace import CAS_FIELD, ID_FIELD
-from docweave.sources.snapshot import CAS_STEP, Collection, vbucket
+from docweave.sources.snapshot import CAS_STEP, Collection, CommitConflict, vbucket
 
 OK, EXISTS, MISSING, CAS_MISMATCH = "ok", "DocumentExistsException", "DocumentNotFoundException", "CasMismatchException"
 DURABILITIES = ("none", "majority", "majorityAndPersistToActive", "persistToMajority")
@@ -59,6 +62,25 @@ class Remove:
     cas: int = 0
 
 
+@dataclass(frozen=True)
+class MutateIn:
+    """Path operations on one document: (operation, path, value) each; values as JSON would have them."""
+
+    id: str
+    specs: tuple[tuple[str, str, object], ...]
+    cas: int = 0
+
+
+def part_operations(spark, rows: list[MutateIn]) -> DataFrame:
+    """MutateIn records as rows (id, cas, specs, ordinal), checked before anything is written."""
+    out = []
+    for i, r in enumerate(rows):
+        if len(r.specs) > subdoc.MOST_OPERATIONS:
+            raise ValueError(f"A maximum of {subdoc.MOST_OPERATIONS} sub-document operations is allowed, {r.id} has {len(r.specs)}")
+        out.append((r.id, r.cas, [(subdoc.parse_header(f"{o}:{p}").operation, p, json.dumps({"v": v})) for o, p, v in r.specs], i))
+    return spark.createDataFrame(out, f"id string, cas long, specs {subdoc.SPECS}, ordinal long")
+
+
 def check_durability(value: str | None) -> str | None:
     """Known levels in any case; there is one copy of the state, so they make no difference."""
     if value is not None and value.lower() not in [d.lower() for d in DURABILITIES]:
@@ -98,18 +120,20 @@ def classify(state: DataFrame, batch: DataFrame, operation: str, ordinal: str |
     joined = turned.join(known, turned["id"] == known["_known"], "left")
     there = F.col("_known").isNotNull()
     if operation == "insert":
-        status = F.when(there | (F.col("_turn") > 1), EXISTS).otherwise(OK)
+        status = F.when(there | (F.col("_turn") > 1), EXISTS)
     elif operation == "upsert":
-        status = F.lit(OK)
+        status = F.lit(None).cast("string")
     elif operation in ("replace", "remove"):
         status = F.when(~there, MISSING)
-        if "cas" in batch.columns:
-            checked = F.coalesce(F.col("cas"), F.lit(0).cast("long"))
-            status = status.when((checked != 0) & (checked != F.col("_cas")), CAS_MISMATCH)
-        status = status.otherwise(OK)
     else:
         raise ValueError(f"Unknown operation {operation!r}")
-    return joined.withColumn("status", status).withColumn("effective", (F.col("status") == OK) & (F.col("_turn") == 1)).drop("_known", "_cas", "_turn")
+    if "cas" in batch.columns and operation != "insert":
+        checked = F.coalesce(F.col("cas"), F.lit(0).cast("long"))
+        status = F.coalesce(status, F.when(there & (checked != 0) & (checked != F.col("_cas")), CAS_MISMATCH))
+    if "failure" in batch.columns:
+        status = F.coalesce(status, F.col("failure"))
+    done = joined.withColumn("status", F.coalesce(status, F.lit(OK)))
+    return done.withColumn("effective", (F.col("status") == OK) & (F.col("_turn") == 1)).drop("_known", "_cas", "_turn")
 
 
 def merged(state: DataFrame, classified: DataFrame, operation: str) -> DataFrame:
@@ -127,39 +151,50 @@ def apply(state: DataFrame, batch: DataFrame, operation: str, ordinal: str | Non
 
 def mutate(
     collection: Collection,
-    batch: DataFrame,
+    batch: DataFrame | Callable[[], DataFrame],
     operation: str,
     ignore: tuple[str, ...] = (),
     ordinal: str | None = None,
     on_error=None,
+    retries: int = 3,
 ) -> DataFrame:
     """Runs an operation against a stored collection and commits it; the batch with status and the new cas.
 
-    batch: id, body (not for a removal), cas if checked. Rows in a status of
-    `ignore` are passed over. Others that aren't ok go to on_error (a function
-    that takes the DataFrame), or stop the mutation before anything changes.
+    batch: id, body (not for a removal), cas if checked, failure if rows may
+    have failed before; or a function that makes it of the state as it is.
+    Rows in a status of `ignore` are passed over. Others that aren't ok go to
+    on_error (a function that takes the DataFrame), or stop the mutation
+    before anything changes. Where another writer commits first, the batch is
+    decided again on what that writer left, up to `retries` times.
     """
-    spark, version = collection.spark, collection.version() + 1
-    keep = [c for c in batch.columns if c in ("id", "body", "cas")]
-    rows = batch.select(*keep, *([ordinal] if ordinal else []))
-    if rows.where("id is null").limit(1).count():
-        raise ValueError("a document without an id can't be written")
+    for attempt in range(retries + 1):
+        try:
+            return _mutate(collection, batch() if callable(batch) else batch, operation, ignore, ordinal, on_error)
+        except CommitConflict:
+            if attempt == retries:
+                raise
+    raise AssertionError("unreachable")
+
+
+def _mutate(collection: Collection, batch: DataFrame, operation: str, ignore: tuple[str, ...], ordinal: str | None, on_error) -> DataFrame:
+    seen = collection.version()
+    state = collection.state(seen)
+    rows = batch.select(*[c for c in batch.columns if c in ("id", "body", "cas", "failure")], *([ordinal] if ordinal else []))
     # what is decided once, with its CAS, is read again and not computed again
-    path = f"{collection.path}/.batch-{version}"
-    staged = classify(collection.state(), rows, operation, ordinal)
-    staged.withColumn("_new", F.monotonically_increasing_id() + F.lit(version * CAS_STEP) + 1).write.mode("overwrite").parquet(path)
-    done = spark.read.parquet(path)
+    done = collection.staged(classify(state, rows, operation, ordinal).withColumn("_new", F.monotonically_increasing_id() + F.lit((seen + 1) * CAS_STEP) + 1))
+    if not done.where("id is null").isEmpty():
+        raise ValueError("a document without an id can't be written")
     failed = done.where(~F.col("status").isin(OK, *ignore))
-    if on_error is not None:
-        on_error(failed)
-    elif first := failed.select("status", "id").limit(10).collect():
+    if on_error is None and (first := failed.select("status", "id").limit(10).collect()):
         raise MutationError(first[0]["status"], sorted(r["id"] for r in first))
     fresh = done.drop("cas").withColumnRenamed("_new", "cas")
     effective = fresh.where("effective")
     body = F.col("body") if operation != "remove" else F.lit(None).cast("string")
-    rest = collection.state().join(effective.select("id"), "id", "left_anti")
-    state = rest if operation == "remove" else rest.unionByName(effective.select("id", "body", "cas"))
-    collection.commit(state, effective.select("id", body.alias("body"), "cas"))
+    rest = state.join(effective.select("id"), "id", "left_anti")
+    after = rest if operation == "remove" else rest.unionByName(effective.select("id", "body", "cas"))
+    collection.commit(after, effective.select("id", body.alias("body"), "cas"), seen)
+    if on_error is not None:
+        on_error(failed)
     return fresh.select("id", "cas", "status")
 
 

@@ -1,20 +1,28 @@
 """Operations on parts of documents, addressed by paths.
 
 Column headers have the form `[operation:]path`, upsert where there is no
-colon. Paths are known when a plan is made, so every operation is compiled to
-struct and array expressions on the documents' inferred type, applied from
-left to right; nothing runs row by row in Python.
+colon; operations are applied from left to right. There are two ways.
+
+* mutate_in() works on documents as structs: paths are known when a plan is
+  made, so every operation is compiled to struct and array expressions.
+* edit_documents() works on documents as JSON texts of any shape: only the
+  addressed part changes, all else keeps its characters, and a document that
+  can't be changed gets a status instead of stopping the job.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docweave.operators import jsontext
+
 OPERATIONS = ("insert", "upsert", "remove", "replace", "arrayAppend", "arrayPrepend", "arrayInsert", "arrayAddUnique", "increment", "decrement")
 MOST_OPERATIONS = 16
 _INDEX = re.compile(r"^(.*)\[(-?\d+)\]$")
@@ -46,16 +54,6 @@ def specs(columns: list[str], special: tuple[str, ...] = ()) -> list[Spec]:
     return out
 
 
-def check_array(values: list) -> list:
-    """Values to put into an array: not empty, of one kind; whole numbers of any size mix, and so do floats."""
-    if not values:
-        raise ValueError("an empty array can't be added to an array")
-    kind = lambda v: "bool" if isinstance(v, bool) else type(v).__name__
-    if len({kind(v) for v in values}) > 1:
-        raise ValueError(f"the values of an array must be of one type, are {sorted({kind(v) for v in values})}")
-    return values
-
-
 def _quoted(path: str) -> str:
     return ".".join(f"`{p}`" for p in path.split("."))
 
@@ -163,11 +161,6 @@ def _array_type(schema: T.DataType, path: str) -> T.DataType:
     return schema
 
 
-def add_unique(array: Column, value: Column) -> Column:
-    """array with value at its end unless it has it."""
-    return F.when(F.array_contains(array, value), array).otherwise(F.array_append(array, value))
-
-
 def mutate_in(df, doc: str, operations: list[Spec], special: tuple[str, ...] = ()):
     """df with the struct column `doc` after all operations; each operation's value is the column of its header. A null cell of a removal leaves the path, other null cells leave it too: what isn't written has no effect."""
     out = df
@@ -177,6 +170,41 @@ def mutate_in(df, doc: str, operations: list[Spec], special: tuple[str, ...] = (
     return out.drop(*[s.column for s in operations])
 
 
+SPECS = "array<struct<operation:string,path:string,cell:string>>"
+
+
+def specs_column(wanted: list[Spec]) -> Column:
+    """The operations of a row, each with its cell as {"v": value}, or {} for a null cell."""
+    one = lambda s: F.struct(F.lit(s.operation).alias("operation"), F.lit(s.path).alias("path"), F.to_json(F.struct(F.col(f"`{s.column}`").alias("v"))).alias("cell"))
+    return F.array(*[one(s) for s in wanted]).cast(SPECS)
+
+
+def edit_text(body: str | None, operations: list[dict]) -> tuple[str | None, str | None]:
+    """(document after the operations, None), or (the document as it was, status)."""
+    text = "{}" if body is None else body
+    try:
+        for o in operations:
+            found, _ = jsontext.items(o["cell"], 0)
+            if found:  # a null cell has no effect
+                text = jsontext.edit(text, o["operation"], o["path"], o["cell"][found[0][2] : found[0][3]])
+    except jsontext.PathError as e:
+        return body, e.status
+    return text, None
+
+
+def edit_documents(df: DataFrame, body: str = "body", operations: str = "specs", status: str = "failure") -> DataFrame:
+    """df with documents (JSON texts; null is an empty one) after each row's operations (see specs_column) and the column `status`: null, or why the document is as it was."""
+    kept = [c for c in df.columns if c not in (body, operations, status)]
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.select(*[F.col(f"`{c}`") for c in kept]).schema.fields)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            done = [edit_text(t, o or []) for t, o in zip(b[body].to_pylist(), b[operations].to_pylist())]
+            yield pa.RecordBatch.from_arrays([*[b[c] for c in kept], pa.array([x[0] for x in done], pa.string()), pa.array([x[1] for x in done], pa.string())], [*kept, body, status])
+
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{body}`"), F.col(f"`{operations}`")).mapInArrow(work, f"{fields}`{body}` string, `{status}` string")
+
+
 def lookup(body: str, path: str) -> Column:
     """A part of a JSON body as text."""
     return F.get_json_object(F.col(body), path if path.startswith("$") else f"$.{path}")

@@ -13,8 +13,10 @@ from docweave.plans import statement
 from docweave.sources.config import Settings
 from docweave.sources.infer import infer_schema, parsed
 from docweave.sources.keyspace import Keyspace
-from docweave.sources.read import read_frame
-from docweave.sources.snapshot import vbucket
+from docweave.sources.read import read_collection, read_frame
+from docweave.sources.shared import fresh_path
+from docweave.sources.snapshot import Collection, Store, vbucket
+from docweave.sources.write import write
 from docweave.streaming import cdc
 
 HERE = Keyspace("tables")
@@ -178,9 +180,10 @@ def _subdoc_upsert(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _subdoc_increment(spark: SparkSession, d: str) -> DataFrame:
-    docs = _documents(spark, d)
-    up = _with(docs, increment__k=F.lit(2)).select("event_id", F.col("doc.k").alias("inc"))
-    return _with(docs.join(up, "event_id"), decrement__k=F.lit(1)).select("event_id", "inc", F.col("doc.k").alias("dec"))
+    """Two operations on two copies of the documents, in one pass over them."""
+    docs = _documents(spark, d).withColumns({"up": F.col("doc"), "increment:k": F.lit(2), "decrement:k": F.lit(1)})
+    both = subdoc.mutate_in(subdoc.mutate_in(docs, "up", [subdoc.parse_header("increment:k")]), "doc", [subdoc.parse_header("decrement:k")])
+    return both.select("event_id", F.col("up.k").alias("inc"), F.col("doc.k").alias("dec"))
 
 
 def _subdoc_remove(spark: SparkSession, d: str) -> DataFrame:
@@ -199,16 +202,78 @@ def _subdoc_arrays(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _subdoc_unique(spark: SparkSession, d: str) -> DataFrame:
-    c = _t(spark, d, "customer").withColumn("tags", F.array(F.lit("BUILDING")))
-    return c.select("c_custkey", subdoc.add_unique(F.col("tags"), F.col("c_mktsegment")).alias("tags"))
+    """A value that is there already is an error of its document, which then stays as it is."""
+    c = _t(spark, d, "customer").select("c_custkey", F.lit('{"tags":["BUILDING"]}').alias("body"), F.col("c_mktsegment").alias("arrayAddUnique:tags"))
+    done = subdoc.edit_documents(c.withColumn("specs", subdoc.specs_column([subdoc.parse_header("arrayAddUnique:tags")])))
+    return done.select("c_custkey", F.from_json("body", "tags array<string>")["tags"].alias("tags"))
 
 
 GOLDEN = '{"toRemove":1,"counter1":100,"counter2":50,"keepThis":"keep","tags":["tag1","tag2"],"moreTags":["tagA","tagD"],"nestedJson":{"foo":{"baz":"bux"}}}'
 
 
+def _stored(spark: SparkSession, rows: DataFrame) -> Collection:
+    """A collection of its own in the shared folder with some documents (id, body)."""
+    out = Store(spark, fresh_path(spark, "store")).create(Keyspace("b", "s", "c"))
+    kv.upsert(out, rows.select(F.col("id").cast("string").alias("id"), "body"))
+    return out
+
+
+def _named(customers: DataFrame) -> DataFrame:
+    return customers.select("id", F.to_json(F.struct("v")).alias("body"))
+
+
+def _read_names(collection: Collection) -> DataFrame:
+    return read_collection(collection, schema="v string").select(F.col("__META_ID").cast("long").alias("id"), "v")
+
+
+def _store_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """kv_upsert through a stored collection: written, mutated, committed and scanned."""
+    state = _customers(spark, d)
+    c = _stored(spark, _named(state))
+    batch = state.where("id % 10 = 0").select("id", F.lit("upd").alias("v")).unionByName(_new(state, "new"))
+    write(batch.withColumnRenamed("id", "__META_ID"), c, "overwrite")
+    return _read_names(c)
+
+
+def _store_remove(spark: SparkSession, d: str) -> DataFrame:
+    state = _customers(spark, d)
+    c = _stored(spark, _named(state))
+    kv.remove(c, state.where("id % 4 = 0").select(F.col("id").cast("string").alias("id")))
+    return _read_names(c)
+
+
+def _store_ignore(spark: SparkSession, d: str) -> DataFrame:
+    """Save mode Ignore: documents that exist stay as they are."""
+    state = _customers(spark, d)
+    c = _stored(spark, _named(state))
+    write(state.where("id < 200").select((F.col("id") + 100).alias("__META_ID"), F.lit("new").alias("v")), c, "ignore")
+    return _read_names(c)
+
+
+def _store_changes(spark: SparkSession, d: str) -> DataFrame:
+    """The change stream of a collection after an upsert and a removal."""
+    state = _customers(spark, d)
+    c = _stored(spark, _named(state.where("id < 500")))
+    kv.remove(c, state.where("id < 100").select(F.col("id").cast("string").alias("id")))
+    changes = cdc.drained(cdc.change_stream(c, "fromBeginning"), "append")
+    return changes.groupBy("deletion").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _parts(mode: str, header: str, value: str):
+    """A path operation on stored documents, where every third document can't be changed."""
+
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        key = F.col("c_custkey")
+        docs = _t(spark, d, "customer").select(key.alias("id"), F.to_json(F.struct(F.col("c_name").alias("name"), F.when(key % 3 == 0, F.lit("x")).alias("z"))).alias("body"))
+        c = _stored(spark, docs)
+        write(docs.select(F.col("id").alias("__META_ID"), F.lit(value).alias(header)), c, writeMode=mode, errorHandler=lambda failed: None)
+        return c.state().select(F.col("id").cast("long").alias("id"), "body")
+
+    return query
+
+
 def _kv_subdoc_golden(spark: SparkSession, d: str) -> DataFrame:
-    rows = spark.createDataFrame([("doc", GOLDEN)], "id string, body string")
-    docs = rows.select("id", F.from_json("body", infer_schema(rows)).alias("doc"))
+    c = _stored(spark, spark.createDataFrame([("doc", GOLDEN)], "id string, body string"))
     cells = {
         "remove:toRemove": F.lit(True),
         "decrement:counter1": F.lit(1),
@@ -218,15 +283,17 @@ def _kv_subdoc_golden(spark: SparkSession, d: str) -> DataFrame:
         "arrayInsert:moreTags[1]": F.array(F.lit("tagB"), F.lit("tagC")),
         "nestedJson.foo.baz": F.lit("bux2"),
     }
-    batch = docs
-    for name, value in cells.items():
-        batch = batch.withColumn(name, value)
-    return subdoc.mutate_in(batch, "doc", subdoc.specs(batch.columns, ("id", "doc"))).select("id", F.to_json("doc").alias("body"))
+    write(spark.range(1).select(F.lit("doc").alias("__META_ID"), *[v.alias(n) for n, v in cells.items()]), c, writeMode="subdocReplace")
+    return c.state().select("id", "body")
 
 
 # streams
 
 
+#: How late an event may come before the state of its window may go.
+LATE = "7 days"
+
+
 def _events(spark: SparkSession, d: str) -> DataFrame:
     return cdc.file_stream(spark, d, "events.parquet", _t(spark, d, "events").schema)
 
@@ -237,23 +304,24 @@ def _cdc_count(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _tumbling(spark: SparkSession, d: str) -> DataFrame:
-    return _naive(cdc.drained(cdc.windowed(_timed(spark, d), "ts", "1 day")), "win_start")
+    return _naive(cdc.drained(cdc.windowed(_timed(spark, d), "ts", "1 day", late=LATE)), "win_start")
 
 
 def _sliding(spark: SparkSession, d: str) -> DataFrame:
-    return _naive(cdc.drained(cdc.windowed(_timed(spark, d), "ts", "12 hours", "6 hours")), "win_start")
+    return _naive(cdc.drained(cdc.windowed(_timed(spark, d), "ts", "12 hours", "6 hours", LATE)), "win_start")
 
 
 def _session(spark: SparkSession, d: str) -> DataFrame:
-    return _naive(cdc.drained(cdc.sessions(_timed(spark, d), "ts", "2 hours", "user_id")), "s_start")
+    return _naive(cdc.drained(cdc.sessions(_timed(spark, d), "ts", "2 hours", "user_id", late=LATE)), "s_start")
 
 
 def _timed(spark: SparkSession, d: str) -> DataFrame:
-    return _events(spark, d)
+    """The events with times that a watermark can follow: the clock times as UTC, whatever the session's time zone."""
+    return _events(spark, d).withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
 
 
 def _naive(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast(T.TimestampNTZType()) for c in columns})
+    return df.withColumns({c: F.to_utc_timestamp(F.col(c), F.current_timezone()).cast(T.TimestampNTZType()) for c in columns})
 
 
 def _dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -262,7 +330,9 @@ def _dedup(spark: SparkSession, d: str) -> DataFrame:
 
 def _cdc_full(spark: SparkSession, d: str) -> DataFrame:
     changes = cdc.changes_of(_t(spark, d, "events"), "event_id", HERE, "full", timestamp=F.col("ts").cast("timestamp"))
-    return changes.select("id", "content", "deletion", "cas", "scope", "collection", "timestamp", "vbucket", F.map_entries("xattrs").alias("xattrs"))
+    text = F.from_json(F.col("content").cast("string"), "event_type string, value double")
+    # the CAS is a number of our own; all else can be told from the rows
+    return changes.select("id", text["event_type"].alias("event_type"), text["value"].alias("value"), "deletion", (F.col("cas") >= 0).alias("has_cas"), "scope", "collection", F.col("timestamp").cast(T.TimestampNTZType()).alias("timestamp"), F.col("vbucket").between(0, 1023).alias("has_vbucket"), F.size("xattrs").alias("n_xattrs"))
 
 
 # search, statements, settings
@@ -278,10 +348,12 @@ def _statement(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _error_handler(spark: SparkSession, d: str) -> DataFrame:
-    """What the handler that writes lines of JSON would write, without writing."""
+    """What the handler that writes lines of JSON has written."""
     state = _customers(spark, d).where("id % 2 = 0").select("id")
     failed = kv.classify(state, _customers(spark, d).select("id"), "insert", "id").where(F.col("status") != kv.OK)
-    return failed.select(F.col("id").cast("string").alias("documentId"), F.col("status").alias("errorClass"), F.lit("tables").alias("bucket"))
+    path = fresh_path(spark, "errors")
+    errors.to_json_lines(path, HERE)(failed)
+    return spark.read.schema("documentId string, errorClass string, bucket string, scope string, collection string").json(path)
 
 
 def _config(spark: SparkSession, d: str) -> DataFrame:
@@ -368,6 +440,12 @@ QUERIES = {
     "subdoc_array_ops": _subdoc_arrays,
     "subdoc_add_unique": _subdoc_unique,
     "kv_subdoc_golden": _kv_subdoc_golden,
+    "subdoc_insert": _parts("subdocReplace", "insert:z", "new"),
+    "subdoc_replace": _parts("subdocUpsert", "replace:z", "new"),
+    "store_upsert": _store_upsert,
+    "store_remove": _store_remove,
+    "store_insert_ignore": _store_ignore,
+    "store_changes": _store_changes,
     "stream_cdc_count": _cdc_count,
     "stream_tumbling": _tumbling,
     "stream_sliding": _sliding,
@@ -435,6 +513,16 @@ SQL = {
     "subdoc_remove": """SELECT event_id, len(json_keys(json_merge_patch(props, '{"k":null}'))) AS n_keys FROM events""",
     "subdoc_array_ops": """SELECT c_custkey, list_concat([c_mktsegment], list_concat(['tagB','tagC'], [c_name])) AS tags FROM customer""",
     "subdoc_add_unique": """SELECT c_custkey, CASE WHEN c_mktsegment IN ('BUILDING') THEN ['BUILDING'] ELSE ['BUILDING', c_mktsegment] END AS tags FROM customer""",
+    "kv_subdoc_golden": """SELECT 'doc' AS id, '{"counter1":99,"counter2":52,"keepThis":"keep","tags":["tag0","tag1","tag2","tag3"],"moreTags":["tagA","tagB","tagC","tagD"],"nestedJson":{"foo":{"baz":"bux2"}}}' AS body""",
+    "subdoc_insert": """SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN '{"name":"' || c_name || '","z":"x"}' ELSE '{"name":"' || c_name || '","z":"new"}' END AS body FROM customer""",
+    "subdoc_replace": """SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN '{"name":"' || c_name || '","z":"new"}' ELSE '{"name":"' || c_name || '"}' END AS body FROM customer""",
+    "store_upsert": """SELECT c_custkey AS id, CASE WHEN c_custkey % 10 = 0 THEN 'upd' ELSE c_name END AS v FROM customer UNION ALL SELECT c_custkey + 10000000, 'new' FROM customer WHERE c_custkey < 10""",
+    "store_remove": """SELECT c_custkey AS id, c_name AS v FROM customer WHERE c_custkey % 4 <> 0""",
+    "store_insert_ignore": """SELECT c_custkey AS id, c_name AS v FROM customer UNION ALL SELECT c_custkey + 100, 'new' FROM customer WHERE c_custkey < 200 AND c_custkey + 100 NOT IN (SELECT c_custkey FROM customer)""",
+    "store_changes": """SELECT false AS deletion, count(*) AS n FROM customer WHERE c_custkey < 500 UNION ALL SELECT true, count(*) FROM customer WHERE c_custkey < 100""",
+    "config_resolution": """SELECT * FROM (VALUES ('', '/plain', 'b', '10s'), ('a', '/a', 'b', '5s'), ('file://user:pw@/dynamic?implicitBucket=c', 'file:///dynamic', 'c', '10s')) t(identifier, root, bucket, timeout)""",
+    "error_handler_jsonl": """SELECT CAST(c_custkey AS VARCHAR) AS "documentId", 'DocumentExistsException' AS "errorClass", 'tables' AS bucket, '_default' AS scope, '_default' AS collection FROM customer WHERE c_custkey % 2 = 0""",
+    "stream_cdc_schema_full": """SELECT CAST(event_id AS VARCHAR) AS id, event_type, value, false AS deletion, true AS has_cas, '_default' AS scope, '_default' AS collection, ts AS timestamp, true AS has_vbucket, 0 AS n_xattrs FROM events""",
     "stream_cdc_count": """SELECT event_type AS collection, count(*) AS count FROM events GROUP BY event_type""",
     "stream_tumbling": """SELECT time_bucket(INTERVAL '1 day', ts) AS win_start, count(*) AS n FROM events GROUP BY 1""",
     "stream_sliding": """SELECT win_start, count(*) AS n FROM (SELECT time_bucket(INTERVAL '6 hours', ts) - INTERVAL '6 hours' * i AS win_start FROM events, range(0,2) r(i)) GROUP BY 1""",

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from docweave.operators import kv, subdoc
 from docweave.operators.errors import in_turn, resolve_handler, to_collection
 from docweave.sources.config import connect, parse_duration
-from docweave.sources.infer import infer_schema
 from docweave.sources.keyspace import CAS_FIELD, ID_FIELD, Keyspace
 from docweave.sources.profiles import profile
 from docweave.sources.snapshot import Collection, Store
@@ -56,7 +55,7 @@ def write(
     handlers = [resolve_handler(errorHandler)] if errorHandler is not None else []
     if errorCollection is not None:
         handlers.append(to_collection(errorCollection, collection.keyspace))
-    handler = in_turn(*handlers) if handlers else None
+    handler = in_turn(*handlers) if handlers else None  # which also keeps a failing one from stopping the write
     collection.create()
     if writeMode is not None and writeMode.startswith("subdoc"):
         return _write_parts(df, collection, writeMode, idFieldName, casFieldName, handler)
@@ -67,25 +66,23 @@ def write(
 
 
 def _write_parts(df: DataFrame, collection: Collection, mode: str, id_field: str, cas_field: str | None, handler) -> DataFrame:
+    """Path operations on stored documents. All but the addressed parts keeps its characters; documents that can't be changed are errors like others."""
     special = tuple(c for c in (id_field, cas_field, CAS_FIELD) if c)
     wanted = subdoc.specs(df.columns, special)
-    state = collection.state()
-    schema = infer_schema(state, limit=None)
-    if not schema.fields:
-        schema.add("_", "string")
-    known = state.select(F.col("id").alias("_id"), F.col("body").alias("_body"))
-    rows = df.withColumn(id_field, F.col(f"`{id_field}`").cast("string"))
-    joined = rows.join(known, rows[f"`{id_field}`"] == known["_id"], "left")
-    empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-    opened = joined.withColumn("_doc", F.coalesce(F.from_json("_body", schema), empty))
-    changed = subdoc.mutate_in(opened, "_doc", wanted)
-    batch = changed.select(
-        F.col(f"`{id_field}`").alias("id"),
-        F.to_json("_doc").alias("body"),
-        (F.col(f"`{cas_field}`").cast("long") if cas_field else F.lit(0).cast("long")).alias("cas"),
-    )
+    cas = F.col(f"`{cas_field}`").cast("long") if cas_field else F.lit(0).cast("long")
+    rows = df.select(F.col(f"`{id_field}`").cast("string").alias("id"), cas.alias("cas"), subdoc.specs_column(wanted).alias("specs"))
+    return mutate_parts(collection, rows, mode, handler)
+
+
+def mutate_parts(collection: Collection, rows: DataFrame, mode: str, handler=None, ordinal: str | None = None) -> DataFrame:
+    """rows (id, cas, specs) of path operations; id, cas and status of every row. Of rows with the same id the last is applied (with subdocInsert the first)."""
     operation = {"subdocInsert": "insert", "subdocReplace": "replace", "subdocUpsert": "upsert"}[mode]
-    return kv.mutate(collection, batch, operation, on_error=handler)
+
+    def edited() -> DataFrame:
+        known = collection.state().select(F.col("id").alias("_id"), "body")
+        return subdoc.edit_documents(rows.join(known, rows["id"] == known["_id"], "left").drop("_id"))
+
+    return kv.mutate(collection, edited, operation, on_error=handler, ordinal=ordinal)
 
 
 def save(spark, df: DataFrame, mode: str = "errorifexists", bucket=None, scope=None, collection=None, connectionIdentifier=None, errorBucket=None, errorScope=None, errorCollection=None, **options) -> DataFrame:

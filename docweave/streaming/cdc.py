@@ -8,15 +8,16 @@ available for this source; use a short processing-time trigger.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docweave.operators import kv
 from docweave.sources.config import parse_duration
 from docweave.sources.keyspace import Keyspace
+from docweave.sources.shared import fresh_path
 from docweave.sources.snapshot import LOG, Collection
 
 META_DATA, STREAM_FROM = ("none", "basic", "full"), ("fromNow", "fromBeginning")
@@ -128,19 +129,45 @@ def deduplicated(events: DataFrame, *by: str, time: str | None = None, late: str
     return events.select(*by).dropDuplicates(list(by))
 
 
-def drained(stream: DataFrame, mode: str = "complete", name: str | None = None) -> DataFrame:
-    """Runs a stream over what is there now and returns the result as a table."""
-    spark, name = stream.sparkSession, name or f"stream_{uuid.uuid4().hex}"
-    query = stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
+def drained(stream: DataFrame, mode: str = "complete") -> DataFrame:
+    """Runs a stream over what is there now and returns the result as a table.
+
+    State and result lie in the shared folder: in append mode the result is a
+    Parquet sink, in complete mode each micro-batch replaces it as a whole.
+    """
+    spark, home = stream.sparkSession, fresh_path(stream.sparkSession, "stream")
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True)
+    if mode == "complete":
+        writer = writer.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{home}/result"))
+    else:
+        writer = writer.format("parquet").option("path", f"{home}/result")
+    query = writer.start()
     try:
         query.awaitTermination()
     finally:
         query.stop()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return spark.table(name)
+    return spark.read.schema(stream.schema).parquet(f"{home}/result")
+
+
+def apply_changes(changes: DataFrame, write: Callable[[DataFrame], object], remove: Callable[[DataFrame], object]) -> None:
+    """A micro-batch of changes (id, content, deletion, cas) as mutations: the last change of each id counts; deletions are removed, all else is written."""
+    newest = Window.partitionBy("id").orderBy(F.col("cas").desc())
+    last = changes.withColumn("_n", F.row_number().over(newest)).where("_n = 1")
+    kept = last.where("not deletion").select("id", F.col("content").cast("string").alias("body"))
+    gone = last.where("deletion").select("id")
+    if not kept.isEmpty():
+        write(kept)
+    if not gone.isEmpty():
+        remove(gone)
 
 
 def into(stream: DataFrame, write: Callable[[DataFrame], None], checkpoint: str):
     """Writes every micro-batch by a function of our own, such as a key/value mutation; exactly once if that is idempotent by key."""
     return stream.writeStream.foreachBatch(lambda df, _: write(df)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def replicate(changes: DataFrame, target: Collection, checkpoint: str):
+    """Keeps a collection like the one that a change stream (with content and CAS) is of: documents are upserted, deletions removed."""
+    return into(changes, lambda df: apply_changes(df, lambda x: kv.upsert(target, x), lambda x: kv.remove(target, x, ignore_if_not_found=True)), checkpoint)

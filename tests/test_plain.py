@@ -3,7 +3,7 @@
 import pytest
 
 from docweave.functions.filters import rewrite
-from docweave.operators import partition, search, subdoc
+from docweave.operators import jsontext, partition, search, subdoc
 from docweave.plans.statement import Unsupported, translate
 from docweave.sources.config import ConfigError, Settings, parse_duration
 from docweave.sources.keyspace import Keyspace
@@ -151,11 +151,65 @@ def test_headers():
         subdoc.specs([f"upsert:p{i}" for i in range(17)])
 
 
-def test_array_values():
-    assert subdoc.check_array([1, 1 << 40]) and subdoc.check_array([1.5, 2.5])
-    for wrong in ([], [1, "a"], [True, 1]):
-        with pytest.raises(ValueError):
-            subdoc.check_array(wrong)
+DOC = '{"a":1, "n":null ,"big":123456789012345678901234567890,"f":2.50,"s":"x\\u0041","tags":["b", 1e3],"o":{"p":{"q":[ {"r":1},{"r":2} ]}}}'
+
+
+@pytest.mark.parametrize(
+    "operation, path, value, old, new",
+    [
+        ("upsert", "z", '"y"', "}}}", '}},"z":"y"}'),
+        ("upsert", "f", "[1]", "2.50", "[1]"),
+        ("upsert", "x.y.z", "1", "}}}", '}},"x":{"y":{"z":1}}}'),
+        ("upsert", "o.p.q[1].r", "null", '"r":2', '"r":null'),
+        ("upsert", "o.p.q[-1].r", "7", '"r":2', '"r":7'),
+        ("insert", "o.p.new", "{}", "]}}}", '],"new":{}}}}'),
+        ("replace", "n", "0", "null", "0"),
+        ("remove", "a", "1", '"a":1, ', ""),
+        ("remove", "o", "1", ',"o":{"p":{"q":[ {"r":1},{"r":2} ]}}', ""),
+        ("remove", "tags[0]", "1", '"b", ', ""),
+        ("increment", "big", "5", "890,", "895,"),
+        ("decrement", "a", "2.9", '"a":1', '"a":-1'),
+        ("increment", "c", "3", "}}}", '}},"c":3}'),
+        ("arrayAppend", "tags", "[true,false]", "1e3]", "1e3,true,false]"),
+        ("arrayPrepend", "tags", '"0"', '["b"', '["0","b"'),
+        ("arrayInsert", "tags[1]", "[[1]]", '"b", ', '"b", [1],'),
+        ("arrayInsert", "tags[2]", "9", "1e3", "1e3,9"),
+        ("arrayAddUnique", "tags", '"c"', "1e3", '1e3,"c"'),
+        ("arrayAddUnique", "t2", "[1]", "}}}", '}},"t2":[[1]]}'),
+    ],
+)
+def test_only_the_addressed_part_changes(operation, path, value, old, new):
+    assert DOC.count(old) == 1 and jsontext.edit(DOC, operation, path, value) == DOC.replace(old, new)
+
+
+@pytest.mark.parametrize(
+    "operation, path, value, status",
+    [
+        ("insert", "a", "1", "PathExistsException"),
+        ("arrayAddUnique", "tags", "1e3", "PathExistsException"),
+        ("replace", "zz", "1", "PathNotFoundException"),
+        ("remove", "o.x", "1", "PathNotFoundException"),
+        ("upsert", "tags[7]", "1", "PathNotFoundException"),
+        ("arrayInsert", "tags[9]", "1", "PathNotFoundException"),
+        ("arrayInsert", "tags", "1", "PathMismatchException"),
+        ("upsert", "a.b", "1", "PathMismatchException"),
+        ("arrayAppend", "a", "1", "PathMismatchException"),
+        ("increment", "f", "1", "PathMismatchException"),
+        ("increment", "a", '"x"', "ValueInvalidException"),
+        ("arrayAppend", "tags", "[]", "ValueInvalidException"),
+        ("arrayPrepend", "tags", '[1,"x"]', "ValueInvalidException"),
+        ("arrayAppend", "tags", "[1,1.5]", "ValueInvalidException"),
+    ],
+)
+def test_paths_that_cannot_be_changed(operation, path, value, status):
+    assert subdoc.edit_text(DOC, [{"operation": operation, "path": path, "cell": f'{{"v":{value}}}'}]) == (DOC, status)
+
+
+def test_documents_that_are_no_json():
+    for text in ("", "no", "[1", '{"a" 1}', "{", '{"a":'):
+        assert subdoc.edit_text(text, [{"operation": "upsert", "path": "z", "cell": '{"v":1}'}]) == (text, "DocumentNotJsonException")
+    assert subdoc.edit_text(None, [{"operation": "upsert", "path": "z", "cell": '{"v":1}'}, {"operation": "upsert", "path": "y", "cell": "{}"}]) == ('{"z":1}', None)
+    assert subdoc.edit_text('{"a":[1,2]}', [{"operation": "arrayAppend", "path": "a", "cell": '{"v":[3,4]}'}]) == ('{"a":[1,2,3,4]}', None)
 
 
 def test_query_strings():

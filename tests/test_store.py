@@ -12,7 +12,8 @@ from docweave.operators import kv, partition
 from docweave.sources.config import disconnect_all
 from docweave.sources.keyspace import Keyspace
 from docweave.sources.read import read, read_collection, read_frame
-from docweave.sources.write import save, write
+from docweave.sources.snapshot import CommitConflict
+from docweave.sources.write import mutate_parts, save, write
 from docweave.streaming import cdc
 
 
@@ -277,3 +278,89 @@ def test_stream_into_a_collection(spark, store, pair, tmp_path):
     write(rows(spark, ("doc7", "late")), pair)
     cdc.into(changes, lambda df: kv.upsert(target, df), f"{tmp_path}/checkpoint").awaitTermination()
     assert "doc7" in contents(target)
+
+
+MIXED = [("andy", '{"username":"Andy","age":32}'), ("order1", '{"value":2.670, "big":123456789012345678901234567890,"n":null}'), ("basket1", '{"itemIds":["order1","order2"],"value":"text"}'), ("bad", "no json"), ("flat", '{"z":{"deep":1}}')]
+
+
+def test_sub_document_writes_keep_all_other_fields(spark, store):
+    c = store.create(Keyspace("b", collection="mixed"))
+    kv.upsert(c, spark.createDataFrame(MIXED, "id string, body string"))
+    caught = []
+    batch = spark.createDataFrame([(i, "y") for i, _ in MIXED] + [("none", "y")], "__META_ID string, `insert:z` string")
+    write(batch, c, writeMode="subdocReplace", errorHandler=lambda failed: caught.extend((r.id, r.status) for r in failed.collect()))
+    got = {r.id: r.body for r in c.state().collect()}
+    want = {i: b[:-1] + ',"z":"y"}' if i not in ("bad", "flat") else b for i, b in MIXED}
+    assert got == want
+    assert sorted(caught) == [("bad", "DocumentNotJsonException"), ("flat", "PathExistsException"), ("none", "DocumentNotFoundException")]
+    with pytest.raises(kv.MutationError):
+        write(batch, c, writeMode="subdocReplace")
+    assert {r.id: r.body for r in c.state().collect()} == want
+
+
+def test_failed_paths_go_to_the_error_collection(spark, store):
+    c, errors_ = store.create(Keyspace("b", collection="parts")), store.collection(Keyspace("b", collection="errors"))
+    kv.upsert(c, spark.createDataFrame([("a", '{"t":1}')], "id string, body string"))
+    calls = []
+
+    def failing(failed):
+        calls.append(failed.count())
+        raise RuntimeError("handler")
+
+    write(spark.createDataFrame([("a", 5)], "__META_ID string, `arrayAppend:t` int"), c, writeMode="subdocUpsert", errorHandler=failing, errorCollection=errors_)
+    (row,) = [json.loads(r.body) for r in errors_.state().collect()]
+    assert calls == [1] and row["documentId"] == "a" and row["error"]["simpleClass"] == "PathMismatchException"
+
+
+def test_mutate_in_records_check_their_cas(spark, store):
+    c = store.create(Keyspace("b", collection="records"))
+    kv.upsert(c, spark.createDataFrame([("a", '{"n":1}'), ("b", '{"n":1}')], "id string, body string"))
+    cas = {r.id: r.cas for r in c.state().collect()}
+    rows = [kv.MutateIn("a", (("increment", "n", 2), ("arrayAppend", "t", [1, 2])), cas["a"]), kv.MutateIn("b", (("upsert", "n", 9),), cas["b"] + 1)]
+    caught = []
+    mutate_parts(c, kv.part_operations(spark, rows), "subdocReplace", lambda failed: caught.extend((r.id, r.status) for r in failed.collect()), "ordinal")
+    assert {r.id: r.body for r in c.state().collect()} == {"a": '{"n":3,"t":[1,2]}', "b": '{"n":1}'} and caught == [("b", "CasMismatchException")]
+    with pytest.raises(ValueError):
+        kv.part_operations(spark, [kv.MutateIn("a", (("upsert", "n", 9),) * 17)])
+
+
+def test_two_writers_on_one_version(spark, store):
+    c = store.create(Keyspace("b", collection="race"))
+    one = spark.createDataFrame([("a", "{}", 1)], "id string, body string, cas long")
+    two = spark.createDataFrame([("b", "{}", 2)], "id string, body string, cas long")
+    assert c.commit(one, one, 0) == 1
+    with pytest.raises(CommitConflict):
+        c.commit(two, two, 0)
+    assert [r.id for r in c.state().collect()] == ["a"] == [r.id for r in c.log().collect()]
+    # mutations decide again on what the other writer left
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda i: kv.upsert(c, spark.createDataFrame([(f"t{i}", "{}")], "id string, body string"), retries=20), range(3)))
+    assert sorted(r.id for r in c.state().collect()) == ["a", "t0", "t1", "t2"] and c.log().count() == 4
+
+
+def test_a_failed_commit_is_not_seen(spark, store, monkeypatch):
+    c = store.create(Keyspace("b", collection="ghosts"))
+    kv.upsert(c, spark.createDataFrame([("a", "{}")], "id string, body string"))
+    monkeypatch.setattr(type(c), "_publish", lambda self, version, facts: (_ for _ in ()).throw(OSError("no space")))
+    with pytest.raises(OSError):
+        kv.upsert(c, spark.createDataFrame([("ghost", "{}")], "id string, body string"))
+    monkeypatch.undo()
+    assert [r.id for r in c.state().collect()] == ["a"] == [r.id for r in c.log().collect()]
+    assert [r.id for r in cdc.drained(cdc.change_stream(c, "fromBeginning"), "append").collect()] == ["a"]
+    kv.upsert(c, spark.createDataFrame([("b", "{}")], "id string, body string"))
+    assert sorted(r.id for r in cdc.drained(cdc.change_stream(c, "fromBeginning"), "append").collect()) == ["a", "b"]
+
+
+def test_replicas_lose_what_is_deleted(spark, store, tmp_path):
+    source, target = store.create(Keyspace("b", collection="from")), store.create(Keyspace("b", collection="to"))
+    kv.upsert(source, spark.createDataFrame([("a", '{"v":1}'), ("b", '{"v":1}'), ("c", '{"v":1}')], "id string, body string"))
+    kv.upsert(source, spark.createDataFrame([("b", '{"v":2}')], "id string, body string"))
+    run = lambda: cdc.replicate(cdc.change_stream(source, "fromBeginning"), target, f"file://{tmp_path}/checkpoint").awaitTermination()
+    run()
+    assert contents(target) == {"a": {"v": 1}, "b": {"v": 2}, "c": {"v": 1}}
+    kv.remove(source, spark.createDataFrame([("a",)], "id string"))
+    kv.upsert(source, spark.createDataFrame([("d", '{"v":4}')], "id string, body string"))
+    run()
+    assert contents(target) == {"b": {"v": 2}, "c": {"v": 1}, "d": {"v": 4}}
