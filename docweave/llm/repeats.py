@@ -3,65 +3,54 @@
 A window is WINDOW consecutive words of a document. Words are removed that
 stand in a window whose words also start earlier in the corpus.
 
-1. Confirm passages. All windows are counted by a 64-bit hash, each chunk of
-   documents counting its own first; those that occur twice or more recur.
-   Windows that follow each other where they occur first make one passage if
-   they always occur together: the same number of times, and with the same sum
-   of marks, random numbers that tell documents and places apart.
-2. Compile automata. A passage is known by its first WINDOW words. These are
-   taken from the document where it occurs first, dealt out to shards by a
-   hash, and each shard is compiled to an Aho-Corasick automaton with one
-   letter for each different word.
-3. Stream all documents. Every task streams its documents through one
-   automaton after the other. A hit is an occurrence of a passage, word for
-   word; unless it is the first one, the words of all the passage's windows
-   are marked, and in the end they are cut out in place.
-
-What is cut follows from the hits alone. Texts are shuffled once, to take the
-passages' words from them. A task holds a chunk of text and a few automata.
-The work of step 3 grows with the words times the shards, that is with the
-words times the number of different recurring passages.
+1. Find repeated phrases. Of the PHRASE-word phrases within a window, the one
+   with the least hash is its anchor; equal windows have equal anchors. The
+   anchors of every shard of documents are counted, and the shards are told
+   which of theirs occur twice or more in the corpus.
+2. Confirm passages. Around those anchors the shards send their words, once for
+   equal words, to where the anchor is dealt with. There all windows with that
+   anchor are compared word by word; those that occur twice or more recur.
+   Neighbours that only occur together make one passage, which is known by its
+   first window. Every shard that has a passage other than as its first
+   occurrence is sent the passage's words and where it occurs first.
+3. Compile automata. Each shard's passages become an Aho-Corasick automaton
+   with one letter for each different word.
+4. Stream all documents. Each shard streams its documents through its
+   automaton. A hit is an occurrence of a passage, word for word; unless it is
+   the first one, the words of all the passage's windows are cut out in place.
+
+What is cut follows from the hits alone. A shard is some ROWS_PER_SHARD rows of
+a file, so texts are never shuffled; what is sent to a shard is written to a
+folder of its own, which only the tasks that read its rows open. All work and
+all that is written grows in proportion to the text. A phrase that is in a
+third of all documents is sent once for each shard and wording around it.
 """
 
 from __future__ import annotations
 
 import contextlib
 import ctypes
-import io
-import pickle
-import uuid
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import xxhash
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm.common import WHITE, WHITE_RUN, discard, fresh_path, table, text_or_empty, written
+from docweave.llm.common import WHITE, WHITE_RUN, delete_path, fresh_path, table, text_or_empty, written
 
-WINDOW = 20
-#: Passages of an automaton (so its different words fit an alphabet of Unicode's size), bytes of text
-#: that a task holds at a time, and windows that a task compares.
-PASSAGES_PER_SHARD, CHUNK_BYTES, WINDOWS_PER_TASK = 50_000, 16 << 20, 1_000_000
-#: Automata that a worker process keeps for its next chunk.
-KEPT_AUTOMATA = 3
+WINDOW, PHRASE = 20, 8
+SPAN = WINDOW - PHRASE + 1
+#: Rows of a shard, bytes of text that a task holds at a time, and anchors that a task counts.
+ROWS_PER_SHARD, CHUNK_BYTES, ANCHORS_PER_TASK = 4_096, 8 << 20, 1_000_000
 #: A null id counts as the greatest.
 LAST = (1 << 63) - 1
-#: An odd number of high order modulo 2^64, and its inverse.
-STRIDE = np.uint64(0x9E3779B97F4A7C15)
-BACK = pow(0x9E3779B97F4A7C15, -1, 1 << 64)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
 
 
 class Chunk:
@@ -70,37 +59,46 @@ class Chunk:
     def __init__(self, texts: list[str]):
         known: dict[bytes, int] = {b"": 0}
         code = known.setdefault
-        parts = [np.fromiter((code(w, len(known)) for w in ws), np.int32, len(ws)) for ws in (t.encode().split() for t in texts)]
+        self.texts = [t.encode().split() for t in texts]
+        parts = [np.fromiter((code(w, len(known)) for w in ws), np.int32, len(ws)) for ws in self.texts]
         self.vocabulary = list(known)
         self.sizes = np.array([len(p) for p in parts], dtype=np.int64)
         gap = np.zeros(1, np.int32)
         self.codes = np.concatenate([x for p in parts for x in (gap, p)]) if parts else gap[:0]
-        #: where each document's words begin
+        #: where each document's words begin, and the document of each code
         self.starts = np.cumsum(self.sizes + 1) - self.sizes
-        doc = np.repeat(np.arange(len(parts)), self.sizes + 1)
-        inside = np.arange(len(self.codes)) - self.starts[doc] if parts else np.zeros(0, np.int64)
-        #: places where a window begins, and their documents and places there
-        self.at = np.flatnonzero((inside >= 0) & (inside + WINDOW <= self.sizes[doc])) if parts else np.zeros(0, np.int64)
-        self.doc, self.place = doc[self.at], inside[self.at]
-
-    def windows(self) -> np.ndarray:
-        """A hash of the words of each window: a polynomial, put together from those of 2, 4, 8, ... words."""
-        if not len(self.at):
-            return np.zeros(0, np.uint64)
-        digest = xxhash.xxh3_64_intdigest
-        words = np.fromiter(map(digest, self.vocabulary), np.uint64, len(self.vocabulary))[self.codes]
-        total, reach = None, 0
-        part, size, factor = words, 1, STRIDE
+        self.doc = np.repeat(np.arange(len(parts)), self.sizes + 1)
+
+    def segments(self) -> dict[str, np.ndarray]:
+        """Runs of windows that have the same phrase as their anchor: the anchor's hash, the document, the place of the first window and the number of windows."""
+        none = {"anchor": np.zeros(0, np.int64), "doc": np.zeros(0, np.int64), "place": np.zeros(0, np.int64), "windows": np.zeros(0, np.int64)}
+        n = len(self.codes) - PHRASE + 1
+        if n < SPAN:
+            return none
+        inside = np.arange(len(self.codes)) - self.starts[self.doc]
+        at = np.flatnonzero((inside >= 0) & (inside + WINDOW <= self.sizes[self.doc]))
+        if not len(at):
+            return none
+        words = np.fromiter(map(xxhash.xxh3_64_intdigest, self.vocabulary), np.uint64, len(self.vocabulary))[self.codes]
+        # a phrase's hash: a polynomial of its words' hashes, put together from those of 2 and 4 words
+        factor, size = np.uint64(0x9E3779B97F4A7C15), 1
         with np.errstate(over="ignore"):
-            while True:
-                if WINDOW & size:
-                    n = len(words) - reach - size + 1
-                    total = part[:n] if total is None else total[:n] * factor + part[reach : reach + n]
-                    reach += size
-                if reach == WINDOW:
-                    return _mix(total[self.at])
-                part = part[:-size] * factor + part[size:]
+            while size < PHRASE:
+                words = words[:-size] * factor + words[size:]
                 size, factor = size * 2, factor * factor
+            words = (words ^ (words >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            phrase = least = words ^ (words >> np.uint64(31))
+        where, reach = np.arange(n, dtype=np.int32), 1
+        # the least of 1, 2, 4, ... places from each place on, the leftmost among equals
+        while reach < SPAN:
+            step = min(reach, SPAN - reach)
+            less = least[step:] < least[:-step]
+            least, where = np.where(less, least[step:], least[:-step]), np.where(less, where[step:], where[:-step])
+            reach += step
+        anchor = where[at]
+        new = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1))))
+        first = at[new]
+        return {"anchor": phrase[anchor[new]].view(np.int64), "doc": self.doc[first], "place": inside[first], "windows": np.diff(np.append(new, len(at)))}
 
 
 def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
@@ -114,10 +112,8 @@ def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
         begin = end
 
 
-def _give_back(automata: bool = True) -> None:
-    """Drops the automata, if they aren't needed again soon, and hands freed memory back to the system, where the C library can: workers wait for their next task with what they hold."""
-    if automata:
-        _automata.clear()
+def _give_back() -> None:
+    """Hands freed memory back to the system, where the C library can: workers wait for their next task with what they hold."""
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
@@ -126,243 +122,223 @@ def _open(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-#: How a window's occurrences are summed up: its hash, its first occurrence (document, place), their number, and the sum of their marks.
-COUNTED = {"window": pa.int64(), "doc_id": pa.int64(), "sum": pa.int64(), "place": pa.int32(), "n": pa.int64(), "marks": pa.int64()}
-COUNTED_DDL = "window long, doc_id long, sum long, place int, n long, marks long"
+def letter(k: int) -> str:
+    """The k-th letter, without surrogates."""
+    return chr(k if k < 0xD800 else k + 0x800)
 
 
-def power(base: int, exponent: np.ndarray) -> np.ndarray:
-    """base to whole powers, modulo 2^64."""
-    out, b, e = np.ones(len(exponent), np.uint64), np.uint64(base), exponent.astype(np.uint64)
-    with np.errstate(over="ignore"):
-        while e.any():
-            out = np.where(e & np.uint64(1), out * b, out)
-            b, e = b * b, e >> np.uint64(1)
-    return out
+def sharded(docs: DataFrame, rows: int = ROWS_PER_SHARD) -> DataFrame:
+    """docs with `_shard`: the same for rows that stand together in a file. What doesn't come from such files is written first."""
+    place = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / F.lit(rows)))
+    try:
+        return docs.withColumn("_shard", place)
+    except AnalysisException:  # these rows have no place in a file
+        return written(docs, "documents").withColumn("_shard", place)
 
 
-def marks_of(doc: np.ndarray, total: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """A mark of each place: a random number of the document times STRIDE to the power of the place, so that a step along all documents multiplies any sum of marks by STRIDE."""
-    with np.errstate(over="ignore"):
-        powers = np.full(int(place.max(initial=0)) + 1, STRIDE)
-        powers[0] = 1
-        return _mix(_mix(doc.astype(np.uint64)) ^ total.astype(np.uint64)) * np.multiply.accumulate(powers)[place]
+def _parts(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Runs of rows of one shard with about `size` bytes of text."""
+    shard = batch["_shard"].to_numpy()
+    begins = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))) if len(shard) else []
+    for lo, hi in zip(begins, [*begins[1:], len(shard)]):
+        for part in _slices(batch.slice(lo, hi - lo), size):
+            yield int(shard[lo]), part
 
 
-def summed(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """Rows of COUNTED with each window once. Of occurrences at the same place of documents that share an id any may be the first."""
-    if not len(rows["window"]):
-        return rows
-    order = np.argsort(rows["window"], kind="stable")
-    window, doc, total, place, n, marks = (rows[c][order] for c in COUNTED)
-    first = np.flatnonzero(np.concatenate(([True], window[1:] != window[:-1])))
-    size = np.diff(np.append(first, len(window)))
-    least = np.minimum.reduceat(doc, first)
-    mine = doc == np.repeat(least, size)
-    least_place = np.minimum.reduceat(np.where(mine, place, np.iinfo(np.int32).max), first).astype(np.int32)
-    mine &= place == np.repeat(least_place, size)
-    who = np.minimum.reduceat(np.where(mine, np.arange(len(window)), len(window)), first)
-    with np.errstate(over="ignore"):
-        marked = np.add.reduceat(marks.view(np.uint64), first).view(np.int64)
-    return {"window": window[first], "doc_id": least, "sum": total[who], "place": least_place, "n": np.add.reduceat(n, first), "marks": marked}
+def _write_by_shard(rows: DataFrame, folder: str) -> str:
+    """Writes rows to a folder for each `_shard`."""
+    rows.repartition("_shard").sortWithinPartitions("_shard").write.partitionBy("_shard").parquet(folder)
+    return folder
 
 
-def _record(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(rows[c], t) for c, t in COUNTED.items()], list(COUNTED))
+def _read_of_shard(folder: str, shard: int, columns: list[str]) -> pa.Table | None:
+    where, root = _open(f"{folder}/_shard={shard}")
+    files = [x.path for x in where.get_file_info(fs.FileSelector(root, allow_not_found=True)) if x.base_name.endswith(".parquet")]
+    found = []
+    for name in files:
+        with where.open_input_file(name) as f:
+            found.append(pq.ParquetFile(f).read(columns))
+    return pa.concat_tables(found) if found else None
 
 
-def count_windows(docs: DataFrame, chunk: int = CHUNK_BYTES) -> DataFrame:
-    """docs (doc_id, sum, text) -> rows of COUNTED, for each chunk of documents every window once."""
+def repeated_anchors(docs: DataFrame, tasks: int, chunk: int = CHUNK_BYTES) -> DataFrame:
+    """docs (_shard, text) -> (_shard, anchor): the anchors of each shard that occur twice or more in all documents, each once or a few times."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _give_back()
         for b in batches:
-            for part in _slices(b, chunk // 2):
-                c = Chunk(part["text"].to_pylist())
-                doc, total, place = part["doc_id"].to_numpy()[c.doc], part["sum"].to_numpy()[c.doc], c.place.astype(np.int32)
-                marks = marks_of(doc, total, place).view(np.int64)
-                yield _record(summed({"window": c.windows().view(np.int64), "doc_id": doc, "sum": total, "place": place, "n": np.ones(len(doc), np.int64), "marks": marks}))
+            for shard, part in _parts(b, chunk):
+                anchor, n = np.unique(Chunk(part["text"].to_pylist()).segments()["anchor"], return_counts=True)
+                yield pa.RecordBatch.from_pydict({"_shard": np.full(len(anchor), shard), "anchor": anchor, "n": n.astype(np.int32)})
         _give_back()
 
-    return docs.select("doc_id", "sum", "text").mapInArrow(count, COUNTED_DDL)
-
-
-def recurring(counted: DataFrame, tasks: int) -> DataFrame:
-    """The windows that occur twice or more, summed up over all chunks; their marks as they would be if the first occurrence stood at place 0."""
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
             return
         rows = pa.Table.from_batches(held)
-        held.clear()
-        found = summed({c: rows[c].to_numpy() for c in COUNTED})
-        again = found["n"] > 1
-        found = {c: x[again] for c, x in found.items()}
-        with np.errstate(over="ignore"):
-            found["marks"] = (found["marks"].view(np.uint64) * power(BACK, found["place"])).view(np.int64)
-        yield _record(found)
-        del rows, found
+        anchor, n = rows["anchor"].to_numpy(), rows["n"].to_numpy()
+        order = np.argsort(anchor, kind="stable")
+        first = np.flatnonzero(np.concatenate(([True], anchor[order][1:] != anchor[order][:-1])))
+        total = np.repeat(np.add.reduceat(n[order], first), np.diff(np.append(first, len(order))))
+        kept = order[total > 1]
+        yield pa.RecordBatch.from_pydict({"_shard": rows["_shard"].to_numpy()[kept], "anchor": anchor[kept]})
         _give_back()
 
-    # a partition holds whole windows; a frequent one has a row for each chunk of documents at most
-    return counted.repartition(tasks, "window").mapInArrow(gather, COUNTED_DDL)
+    # an anchor has a row for each shard and chunk at most, however often it occurs
+    counted = docs.select("_shard", "text").mapInArrow(count, "_shard long, anchor long, n int")
+    return counted.repartition(tasks, "anchor").mapInArrow(again, "_shard long, anchor long")
 
 
-def passages(windows: DataFrame) -> DataFrame:
-    """Recurring windows -> (doc_id, sum, place, length, window, ending): runs of windows that always occur together, where they occur first, with the hashes of the first and the last of them."""
-    w = Window.partitionBy("doc_id", "sum").orderBy("place")
-    before = {c: F.lag(c).over(w) for c in ("place", "n", "marks")}
-    goes_on = (before["place"] + 1 == F.col("place")) & (before["n"] == F.col("n")) & (before["marks"] == F.col("marks"))
-    runs = windows.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(w))
-    return runs.groupBy("doc_id", "sum", "_run").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("length"), F.min_by("window", "place").alias("window"), F.max_by("window", "place").alias("ending")).drop("_run")
+SEGMENT = {"anchor": pa.int64(), "_shard": pa.int64(), "doc_id": pa.int64(), "place": pa.int32(), "n": pa.int64(), "words": pa.string()}
+PASSAGE = {"_shard": pa.int64(), "words": pa.string(), "length": pa.int32(), "doc_id": pa.int64(), "place": pa.int32()}
 
 
-def with_words(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """The passages with `words`: their first WINDOW words, joined by single spaces, from the document where they occur first."""
-    heads = found.groupBy("doc_id", "sum").agg(F.collect_list(F.struct("place", "length", "window", "ending")).alias("heads"))
-    # rows that repeat a document give its passages once
-    texts = docs.select("doc_id", "sum", "text").join(heads, ["doc_id", "sum"])
-    names = ["doc_id", "place", "length", "window", "ending", "words"]
+def _batch(rows: list[tuple], columns: dict[str, pa.DataType]) -> pa.RecordBatch:
+    values = list(zip(*rows)) if rows else [()] * len(columns)
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, columns.values())], list(columns))
 
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(b.num_rows):
-                doc, text, mine = b["doc_id"][k].as_py(), b["text"][k].as_py().encode().split(), b["heads"][k].as_py()
-                rows = [(doc, h["place"], h["length"], h["window"], h["ending"], b" ".join(text[h["place"] : h["place"] + WINDOW]).decode()) for h in mine]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string()))], names)
 
-    return texts.mapInArrow(take, "doc_id long, place int, length long, window long, ending long, words string")
+def segments(docs: DataFrame, anchors: str, chunk: int = CHUNK_BYTES) -> DataFrame:
+    """docs (_shard, doc_id, text) -> the words around repeated anchors: for each shard and wording once, with the first place (document, window) and the number there."""
 
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, mine = None, np.zeros(0, np.int64)
+        for b in batches:
+            for shard, part in _parts(b, chunk):
+                if shard != now:
+                    found = _read_of_shard(anchors, shard, ["anchor"])
+                    now, mine = shard, np.zeros(0, np.int64) if found is None else np.unique(found["anchor"].to_numpy())
+                if not len(mine):
+                    continue
+                c, ids = Chunk(part["text"].to_pylist()), part["doc_id"].to_pylist()
+                s = c.segments()
+                at = np.minimum(np.searchsorted(mine, s["anchor"]), len(mine) - 1)
+                kept = np.flatnonzero(mine[at] == s["anchor"])
+                seen: dict[bytes, list] = {}
+                for anchor, doc, place, windows in zip(*(s[x][kept].tolist() for x in ("anchor", "doc", "place", "windows"))):
+                    words, first = b" ".join(c.texts[doc][place : place + windows + WINDOW - 1]), (ids[doc], place)
+                    if (x := seen.get(words)) is None:
+                        seen[words] = [anchor, first, 1]
+                    else:
+                        x[1], x[2] = min(x[1], first), x[2] + 1
+                yield _batch([(anchor, shard, *first, n, words.decode()) for words, (anchor, first, n) in seen.items()], SEGMENT)
+        _give_back()
 
-def letter(k: int) -> str:
-    """The k-th letter, without surrogates."""
-    return chr(k if k < 0xD800 else k + 0x800)
-
-
-def compile_automata(found: DataFrame, folder: str, per_shard: int = PASSAGES_PER_SHARD) -> list[str]:
-    """Compiles the passages (with words), dealt out to shards by a hash, to automata in the folder; their paths, one for about per_shard passages."""
-    shards = -(-found.count() // per_shard)
-    if not shards:
-        return []
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        rows = pa.Table.from_batches(held)
-        where, root = _open(folder)
-        where.create_dir(root, recursive=True)
-        names = []
-        shard = rows["shard"].to_numpy()
-        for k in np.unique(shard).tolist():
-            mine = rows.filter(pa.array(shard == k))
-            a = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_STRING)
-            letters: dict[bytes, str] = {}
-            for i, words in enumerate(mine["words"].to_pylist()):
-                a.add_word("".join([letters.setdefault(w, letter(len(letters) + 1)) for w in words.encode().split()]), i)
-            a.make_automaton()
-            facts = {c: mine[c].to_numpy() for c in ("doc_id", "place", "length", "ending")}
-            # a repeated task writes another file; only the file of the task that counts is reported
-            names.append(f"shard-{k}-{uuid.uuid4().hex}")
-            with where.open_output_stream(f"{root}/{names[-1]}", compression=None) as f:
-                pickle.dump((a, letters, facts), f, protocol=pickle.HIGHEST_PROTOCOL)
-            del a, letters
-            _give_back()
-        yield pa.RecordBatch.from_pydict({"name": pa.array(names, pa.string())})
-
-    dealt = found.dropDuplicates(["window", "words"]).withColumn("shard", F.pmod(F.xxhash64("window"), F.lit(shards)).cast("int"))
-    built = written(dealt.repartition(shards, "shard").mapInArrow(build, "name string"), "automata")
-    return sorted(f"{folder}/{r['name']}" for r in built.collect())
-
-
-_automata: OrderedDict[str, tuple] = OrderedDict()
-
-
-def _automaton(path: str) -> tuple[ahocorasick.Automaton, dict[bytes, str], dict[str, np.ndarray]]:
-    """A compiled shard; a worker keeps the last few it used."""
-    if path in _automata:
-        _automata.move_to_end(path)
-        return _automata[path]
-    while len(_automata) >= KEPT_AUTOMATA:
-        _automata.popitem(last=False)
-    where, name = _open(path)
-    with where.open_input_file(name) as f:
-        # read in parts: the file and the automaton aren't held whole at once more often than needed
-        _automata[path] = pickle.load(io.BufferedReader(f, 1 << 20))
-    return _automata[path]
-
-
-def occurrences(chunk: Chunk, path: str) -> tuple[np.ndarray, ...]:
-    """(place in the chunk, document, place, length, ending) of the passages of one automaton that are found in a chunk; document and place are those of the first occurrence."""
-    automaton, letters, facts = _automaton(path)
-    get = letters.get
-    alphabet = np.array([ord(get(w, "\0")) for w in chunk.vocabulary], np.uint32)
-    text = alphabet[chunk.codes].tobytes().decode("utf-32-le")
-    hits = np.array(list(automaton.iter(text)), np.int64).reshape(-1, 2)
-    return (hits[:, 0] - (WINDOW - 1), *(facts[c][hits[:, 1]] for c in ("doc_id", "place", "length", "ending")))
-
-
-def covered(chunk: Chunk, ids: np.ndarray, automata: list[str]) -> np.ndarray:
-    """Which words of a chunk, by place in it, stand in a window that also starts earlier."""
-    n = len(chunk.codes) + 1
-    change = np.zeros(n, np.int64)
-    if not len(chunk.at):
-        return np.zeros(n - 1, bool)
-    window, doc = chunk.windows().view(np.int64), np.repeat(np.arange(len(chunk.sizes)), chunk.sizes + 1)
-    number = np.full(n - 1, -1)
-    number[chunk.at] = np.arange(len(chunk.at))
-    # the other way round each time, so that the automata at the end are still there
-    for path in automata if not _automata or automata[0] in _automata else reversed(automata):
-        at, first, place, length, ending = occurrences(chunk, path)
-        later = (ids[doc[at]] != first) | (at - chunk.starts[doc[at]] != place)
-        at, length, ending = at[later], length[later], ending[later]
-        # the windows of a passage occur together; the last one is looked at
-        final = np.minimum(at + length - 1, n - 2)
-        whole = (number[final] >= 0) & (doc[final] == doc[at]) & (window[number[final]] == ending)
-        at, length = at[whole], length[whole]
-        np.add.at(change, at, 1)
-        np.add.at(change, at + length + WINDOW - 1, -1)
+    return docs.select("_shard", "doc_id", "text").mapInArrow(send, "anchor long, _shard long, doc_id long, place int, n long, words string")
+
+
+def confirm(rows: list[tuple]) -> list[tuple]:
+    """All segments (shard, doc_id, place, n, words) of one anchor -> the passages (shard, words, length, doc_id, place) to look for in each shard."""
+    wordings: dict[str, list[tuple]] = {}
+    for shard, doc, place, n, words in rows:
+        wordings.setdefault(words, []).append((shard, doc, place, n))
+    # how often each window occurs, where first, and how often it is followed by its neighbour
+    counts: dict[str, int] = {}
+    first: dict[str, tuple[int, int]] = {}
+    joint: dict[tuple[str, str], int] = {}
+    cut: dict[str, list[str]] = {}
+    for words, places in wordings.items():
+        ws = words.split(" ")
+        n, (doc, place) = sum(x[3] for x in places), min((x[1], x[2]) for x in places)
+        cut[words] = windows = [" ".join(ws[i : i + WINDOW]) for i in range(len(ws) - WINDOW + 1)] if len(wordings) > 1 else [" ".join(ws[:WINDOW])]
+        for i, w in enumerate(windows):
+            counts[w] = counts.get(w, 0) + n
+            first[w] = min(first.get(w, (doc, place + i)), (doc, place + i))
+            if i:
+                joint[windows[i - 1], w] = joint.get((windows[i - 1], w), 0) + n
+    out = set()
+    for words, places in wordings.items():
+        windows, i = cut[words], 0
+        whole = len(wordings) == 1 and words.count(" ") + 2 - WINDOW
+        while i < len(windows):
+            w, end = windows[i], i + 1
+            while end < len(windows) and counts[windows[end - 1]] == counts[windows[end]] == joint[windows[end - 1], windows[end]]:
+                end += 1
+            if counts[w] > 1:
+                # a shard whose only occurrence is the first of all has nothing to cut
+                out |= {(shard, w, whole or end - i, *first[w]) for shard, doc, place, n in places if n > 1 or (doc, place + i) != first[w]}
+            i = end
+    return list(out)
+
+
+def passages(found: DataFrame, tasks: int) -> DataFrame:
+    """Segments -> the passages (PASSAGE) that each shard has to look for."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for b in batches:
+            out = []
+            for anchor, *row in zip(*(b[c].to_pylist() for c in SEGMENT)):
+                if anchor != now:
+                    out += confirm(held)
+                    now, held = anchor, []
+                held.append(row)
+            yield _batch(out, PASSAGE)
+        yield _batch(confirm(held), PASSAGE)
+
+    return found.repartition(tasks, "anchor").sortWithinPartitions("anchor").mapInArrow(compare, "_shard long, words string, length int, doc_id long, place int")
+
+
+class Matcher:
+    """The automaton of a shard's passages."""
+
+    def __init__(self, found: pa.Table):
+        once = dict(zip(found["words"].to_pylist(), zip(*(found[c].to_pylist() for c in ("doc_id", "place", "length")))))
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_STRING)
+        self.letters: dict[bytes, str] = {}
+        for i, words in enumerate(once):
+            self.automaton.add_word("".join([self.letters.setdefault(w, letter(len(self.letters) + 1)) for w in words.encode().split(b" ")]), i)
+        self.automaton.make_automaton()
+        self.facts = np.array(list(once.values()), np.int64).reshape(-1, 3)
+
+    def occurrences(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """Where in a chunk passages begin, and (document and place of the first occurrence, length) of each."""
+        get = self.letters.get
+        alphabet = np.array([ord(get(w, "\0")) for w in chunk.vocabulary], np.uint32)
+        text = alphabet[chunk.codes].tobytes().decode("utf-32-le")
+        hits = np.array(list(self.automaton.iter(text)), np.int64).reshape(-1, 2)
+        return hits[:, 0] - (WINDOW - 1), self.facts[hits[:, 1]]
+
+
+def covered(chunk: Chunk, ids: np.ndarray, matcher: Matcher | None) -> np.ndarray:
+    """Which codes of a chunk are words in a window that also starts earlier."""
+    change = np.zeros(len(chunk.codes) + 1, np.int64)
+    if matcher is not None and len(chunk.codes):
+        at, facts = matcher.occurrences(chunk)
+        doc = chunk.doc[at]
+        later = (ids[doc] != facts[:, 0]) | (at - chunk.starts[doc] != facts[:, 1])
+        np.add.at(change, at[later], 1)
+        np.add.at(change, at[later] + facts[later, 2] + WINDOW - 1, -1)
     return np.cumsum(change)[:-1] > 0
 
 
-def _without(text: str, gone: list[bool]) -> str:
-    """A text without the marked words: its lines, with single spaces in lines that lose words, and without lines that lose all."""
-    lines, at = [], 0
-    for line in text.encode().split(b"\n"):
-        ws = line.split()
-        out = gone[at : at + len(ws)]
-        at += len(ws)
-        if not any(out):
-            lines.append(line)
-        elif not all(out):
-            lines.append(b" ".join(w for w, g in zip(ws, out) if not g))
-    return b"\n".join(lines).decode()
-
-
-def cut_repeats(docs: DataFrame, automata: list[str], chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """docs (doc_id, text, further columns) with `kept` (the text of the words that stay) in place of text, n_words and n_removed."""
-    names = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text"]
+def cut_repeats(docs: DataFrame, folder: str, chunk: int = CHUNK_BYTES) -> DataFrame:
+    """docs (_shard, doc_id as `_order`, text, further columns) with `kept` (the text of the words that stay) in place of text, n_words and n_removed."""
+    others = [f.name for f in docs.schema.fields if f.name not in ("text", "_order", "_shard")]
+    names = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields if f.name in others)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, matcher = None, None
         for b in batches:
-            for part in _slices(b, chunk_bytes):
+            for shard, part in _parts(b, chunk):
+                if shard != now:
+                    matcher = None
+                    found = _read_of_shard(folder, shard, [c for c in PASSAGE if c != "_shard"])
+                    now, matcher = shard, Matcher(found) if found is not None and found.num_rows else None
                 texts = part["text"].to_pylist()
-                chunk = Chunk(texts)
-                gone = covered(chunk, part["_order"].to_numpy(), automata)
+                c = Chunk(texts)
+                gone = covered(c, part["_order"].to_numpy(), matcher)
                 total = np.concatenate(([0], np.cumsum(gone)))
-                removed = total[chunk.starts + chunk.sizes] - total[chunk.starts]
-                kept = [
-                    t if not r else _without(t, gone[s : s + n].tolist()) for t, r, s, n in zip(texts, removed.tolist(), chunk.starts.tolist(), chunk.sizes.tolist())
-                ]
-                others = [c for c in part.schema.names if c != "text"]
-                yield pa.RecordBatch.from_arrays([*[part[c] for c in others], pa.array(kept, pa.string()), pa.array(chunk.sizes), pa.array(removed)], [*others, "kept", "n_words", "n_removed"])
-        _give_back(automata=False)
+                removed = total[c.starts + c.sizes] - total[c.starts]
+                kept = [t if not r else _without(t, gone[s : s + n].tolist()) for t, r, s, n in zip(texts, removed.tolist(), c.starts.tolist(), c.sizes.tolist())]
+                yield pa.RecordBatch.from_arrays([*[part[x] for x in others], pa.array(kept, pa.string()), pa.array(c.sizes), pa.array(removed)], [*others, "kept", "n_words", "n_removed"])
+        matcher = None
+        _give_back()
 
-    return docs.mapInArrow(cut, f"{', '.join(names)}, kept string, n_words long, n_removed long")
+    return docs.mapInArrow(cut, f"{names}kept string, n_words long, n_removed long")
 
 
-def remove_repeats(docs: DataFrame, chunk: int = CHUNK_BYTES, per_shard: int = PASSAGES_PER_SHARD, per_task: int = WINDOWS_PER_TASK) -> DataFrame:
+def remove_repeats(docs: DataFrame, rows_per_shard: int = ROWS_PER_SHARD, chunk: int = CHUNK_BYTES, per_task: int = ANCHORS_PER_TASK) -> DataFrame:
     """docs (doc_id, text, further columns) -> all columns but text, with `kept` (the text of the words that stay), n_words, n_removed.
 
     A text that loses nothing stays as it is; in others, lines that lose words
@@ -372,22 +348,35 @@ def remove_repeats(docs: DataFrame, chunk: int = CHUNK_BYTES, per_shard: int = P
     one document for that order: of equal windows at the same place of such
     rows none counts as the earlier, so rows that repeat a document are kept
     or cut alike. Null texts have no words; an empty table gives an empty one.
-    The first window of a passage is compared word for word; that the others
-    recur with it rests on 64-bit hashes and sums (about 60 bits of which are
-    random). Columns named kept, n_words, n_removed or _order give way.
+    Windows are compared word by word. Columns named kept, n_words, n_removed,
+    _order or _shard give way.
     """
     spark = docs.sparkSession
-    clean = docs.drop("kept", "n_words", "n_removed", "_order")
+    clean = sharded(docs.drop("kept", "n_words", "n_removed", "_order", "_shard"), rows_per_shard)
     rows = clean.withColumn("text", text_or_empty("text")).withColumn("_order", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
-    keyed = rows.select(F.col("_order").alias("doc_id"), F.xxhash64("text").alias("sum"), "text")
-    # a word has two bytes at least, and six on average
+    keyed = rows.select("_shard", F.col("_order").alias("doc_id"), "text")
+    # words have six bytes on average, and every seventh phrase is an anchor
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    windows = recurring(count_windows(keyed, chunk), max(1, -(-size // (6 * per_task))))
-    found = written(passages(windows), "passages")
-    worded = written(with_words(found, keyed), "worded")
-    automata = compile_automata(worded, f"{fresh_path(spark, 'repeats')}/automata", per_shard)
-    discard(found, worded)
-    return cut_repeats(rows, automata, chunk).drop("_order")
+    tasks = max(1, -(-size // (42 * per_task)))
+    anchors = _write_by_shard(repeated_anchors(keyed, tasks, chunk), fresh_path(spark, "anchors"))
+    found = passages(segments(keyed, anchors, chunk), 4 * tasks)
+    folder = _write_by_shard(found, fresh_path(spark, "passages"))
+    delete_path(spark, anchors.rsplit("/", 1)[0])
+    return cut_repeats(rows, folder, chunk)
+
+
+def _without(text: str, gone: list[bool]) -> str:
+    """A text without the marked words: its lines, with single spaces in lines that lose words, and without lines that lose all."""
+    lines, at = [], 0
+    for line in text.encode().split(b"\n"):
+        ws = line.split()
+        out = gone[at : at + len(ws)]
+        at += len(ws)
+        if not any(out):
+            lines.append(line)
+        elif not all(out):
+            lines.append(b" ".join(w for w, g in zip(ws, out) if not g))
+    return b"\n".join(lines).decode()
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

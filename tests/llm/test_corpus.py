@@ -397,7 +397,7 @@ def passages_of(rng, n):
     return rows
 
 
-@pytest.mark.parametrize("sizes", [{}, {"chunk": 2_000, "per_shard": 3, "per_task": 50}])
+@pytest.mark.parametrize("sizes", [{}, {"chunk": 2_000, "rows_per_shard": 3, "per_task": 50}])
 def test_repeats_within_and_across(spark, sizes):
     """Small chunks, many automata and many tasks give the same as large ones."""
     rows = passages_of(random.Random(3), 60)
@@ -407,27 +407,32 @@ def test_repeats_within_and_across(spark, sizes):
 
 
 def test_what_is_cut_follows_from_the_hits(spark, monkeypatch):
-    """Passages are confirmed before they are compiled; without the automata's hits nothing is cut, and a false hit would show."""
-    rows = passages_of(random.Random(4), 30)
+    """Passages are confirmed before they are compiled; the automaton finds every occurrence, word for word, and without its hits nothing is cut."""
+    rows = passages_of(random.Random(4), 40)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    keyed = df.select("doc_id", F.xxhash64("text").alias("sum"), "text")
-    found = repeats.passages(repeats.recurring(repeats.count_windows(keyed), 3))
-    worded = [(r.words, r.doc_id, r.place, r.length) for r in repeats.with_words(found, keyed).collect()]
+    keyed = repeats.sharded(df, 1_000).coalesce(1)
+    root = spark.conf.get("spark.checkpoint.dir") + "/confirmed"
+    anchors = repeats._write_by_shard(repeats.repeated_anchors(keyed, 3), root)
+    found = repeats.passages(repeats.segments(keyed, anchors), 3).drop("_shard").distinct().collect()
     texts = [WORD.findall(t) for _, t in rows]
     windows = Counter(tuple(ws[i : i + 20]) for ws in texts for i in range(len(ws) - 19))
-    for words, d, place, length in worded:
-        own = texts[d][place : place + 19 + length]
-        assert words == " ".join(own[:20]) and len({windows[tuple(own[i : i + 20])] for i in range(length)}) == 1 < windows[tuple(own[:20])]
-    assert sum(x[3] for x in worded) == sum(n > 1 for n in windows.values()) and len(worded) < sum(n > 1 for n in windows.values()) / 3
-    folder = spark.conf.get("spark.checkpoint.dir") + "/hits"
-    automata = repeats.compile_automata(spark.createDataFrame([(d, p, n, 0, 0, w) for w, d, p, n in worded], "doc_id long, place int, length long, window long, ending long, words string"), folder)
-    chunk, ids = repeats.Chunk([t for _, t in rows]), np.arange(30)
-    at, first, place, length, _ = repeats.occurrences(chunk, automata[0])
-    told = {(int(i), int(d), int(p)) for i, d, p in zip(at, first, place)}
-    want = {(int(chunk.starts[e]) + i, d, p) for w, d, p, _ in worded for e, ws in enumerate(texts) for i in range(len(ws) - 19) if " ".join(ws[i : i + 20]) == w}
-    assert told == want and len(want) > len(worded)
-    monkeypatch.setattr(repeats, "occurrences", lambda chunk, path: tuple(np.zeros(0, np.int64) for _ in range(5)))
-    assert not repeats.covered(chunk, ids, automata).any()
+    told = set()
+    for r in found:
+        own = texts[r.doc_id][r.place : r.place + 19 + r.length]
+        mine = [tuple(own[i : i + 20]) for i in range(r.length)]
+        assert r.words == " ".join(own[:20]) and len({windows[w] for w in mine}) == 1 < windows[mine[0]] and not told & set(mine)
+        told |= set(mine)
+    assert told == {w for w, n in windows.items() if n > 1} and len(found) < len(told) / 2
+    chunk, ids = repeats.Chunk([t for _, t in rows]), np.arange(len(rows))
+    columns = {c: t for c, t in repeats.PASSAGE.items() if c != "_shard"}
+    matcher = repeats.Matcher(repeats.pa.Table.from_batches([repeats._batch([tuple(r[c] for c in columns) for r in found], columns)]))
+    at, facts = matcher.occurrences(chunk)
+    hits = {(int(i), *map(int, f)) for i, f in zip(at, facts)}
+    want = {(int(chunk.starts[d]) + i, r.doc_id, r.place, r.length) for r in found for d, ws in enumerate(texts) for i in range(len(ws) - 19) if " ".join(ws[i : i + 20]) == r.words}
+    assert hits == want and len(want) > len(found)
+    assert repeats.covered(chunk, ids, matcher).any()
+    monkeypatch.setattr(matcher, "occurrences", lambda chunk: (np.zeros(0, np.int64), np.zeros((0, 3), np.int64)))
+    assert not repeats.covered(chunk, ids, matcher).any()
 
 
 def test_repeats_of_tied_and_large_ids(spark):
@@ -438,7 +443,7 @@ def test_repeats_of_tied_and_large_ids(spark):
     rows = [(5, " ".join(["a"] + p[:40])), (5, " ".join(["b"] + p[5:60])), (5, " ".join(["a"] + p[:40])), (big + 1, " ".join(p)), (big + 3, " ".join(p[20:])), (big, " ".join(["z"] * 3 + p[30:]))]
     rows += [(None, " ".join([f"n{i}"] + p[:30] + [str(rng.random()) for _ in range(5)] + ["q"] * 25)) for i in range(4)] + [(None, None)]
     rows.sort(key=lambda r: (r[0] is None, r[0] or 0))
-    for sizes in ({}, {"chunk": 300, "per_shard": 1, "per_task": 10}):
+    for sizes in ({}, {"chunk": 300, "rows_per_shard": 1, "per_task": 10}):
         check_cut(digests(repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), **sizes)), rows)
 
 
