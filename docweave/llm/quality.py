@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from docweave.llm.common import NOT_WHITE, WHITE, count_upto, let, table, text_or_empty, words
 
 #: Hash buckets of the multinomials.
-BUCKETS = 1 << 15
+BUCKETS = 1 << 17
 #: Trusted documents that the target is fitted on, at most: those of the
 #: labelled documents of good quality whose ids hash lowest.
 TARGET_DOCUMENTS = 4_000
 #: Pseudo-counts that draw a bucket's ratio to 1 where there is little evidence.
-SMOOTHING = 2.0
-#: The least mean log ratio of a document that stays. Ordinary prose lies near 0.
+SMOOTHING = 10.0
+#: The least mean log ratio of a document that stays. Ordinary prose that is not in the target lies near 0
+#: with thousands of target documents, and above -0.1 with some 150 of them.
 THRESHOLD = -0.12
 WINDOW = 8
 
@@ -85,19 +86,28 @@ def repeated_words(hashes: Column) -> Column:
     return let(F.transform(count_upto(F.size(hashes) - (WINDOW - 1)), lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(WINDOW)])), covered)
 
 
-def measures(docs: DataFrame, weights: Column) -> DataFrame:
-    """docs (with text) plus n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score (null without words)."""
-    text = text_or_empty("text")
-    lines = F.filter(F.split(text, "\n"), lambda s: F.btrim(s, F.lit(WHITE)) != "")
-    scored = let(
+def scored(text: Column, weights: Column) -> Column:
+    """n_words, n_repeat_words and score (null without words) of a non-null text, as one struct; weights: what fit() gives."""
+    return let(
         word_hashes(words(text)),
         lambda hs: F.struct(
             F.size(hs).cast("long").alias("n_words"),
             repeated_words(hs).cast("long").alias("n_repeat_words"),
-            let(buckets_of(hs), lambda bs: F.aggregate(bs, F.lit(0.0), lambda a, b: a + F.get(F.col("_weights"), b)) / F.nullif(F.size(bs), F.lit(0))).alias("score"),
+            let(buckets_of(hs), lambda bs: F.aggregate(bs, F.lit(0.0), lambda a, b: a + F.get(weights, b)) / F.nullif(F.size(bs), F.lit(0))).alias("score"),
         ),
     )
-    return docs.withColumn("_weights", weights).withColumn("_m", scored).select(
+
+
+def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
+    """Under 20 words, or over 30 percent of the words in repeated windows."""
+    return (n_words < 20) | (n_repeat_words * 100 > n_words * 30)
+
+
+def measures(docs: DataFrame, weights: Column) -> DataFrame:
+    """docs (with text) plus n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score (null without words)."""
+    text = text_or_empty("text")
+    lines = F.filter(F.split(text, "\n"), lambda s: F.btrim(s, F.lit(WHITE)) != "")
+    return docs.withColumn("_weights", weights).withColumn("_m", scored(text, F.col("_weights"))).select(
         *docs.columns,
         F.col("_m.n_words").alias("n_words"),
         (F.length(text) - F.length(F.regexp_replace(text, NOT_WHITE, ""))).cast("long").alias("word_chars"),
@@ -111,20 +121,29 @@ def measures(docs: DataFrame, weights: Column) -> DataFrame:
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs plus the measures, base_failed and kept.
 
-    base_failed: under 20 words, or over 30 percent of the words in repeated
-    windows. kept: not base_failed and score >= threshold. Null texts have no
-    words and fail. Without labelled documents the target is uniform, which
-    tells nothing; then the score is 0 for all and only the base rules hold.
-    Repeated rows are judged alike. Columns of the same names in docs give way.
+    kept: not base_failed and score >= threshold. Null texts have no words and
+    fail. Without labelled documents the target is uniform, which tells
+    nothing; then the score is 0 for all and only the base rules hold.
+    Repeated rows are judged alike, and an empty table gives an empty one.
+    Columns of the same names in docs give way.
     """
     own = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "base_failed", "kept", "_m", "_weights")
     docs = docs.drop(*own)
     model = fit(docs.select("doc_id", "text"), trusted_ids(labels))
     judged = measures(docs, model.select("weights").scalar())
-    failed = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
+    failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
     return judged.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.coalesce(F.col("score"), F.lit(0.0)) >= threshold))
 
 
+def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs (doc_id, text, any further columns) that judge() keeps, as they are. Each text is measured once."""
+    weights = fit(docs.select("doc_id", "text"), trusted_ids(labels)).select("weights").scalar()
+    # further columns travel in a struct, where they clash with nothing
+    rows = docs.select(text_or_empty("text").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_all")).withColumn("_weights", weights)
+    good = let(scored(F.col("text"), F.col("_weights")), lambda m: ~base_failed(m["n_words"], m["n_repeat_words"]) & (F.coalesce(m["score"], F.lit(0.0)) >= threshold))
+    return rows.where(good).select("_all.*")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their measures and the verdict."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
