@@ -11,11 +11,13 @@ HOW = ("inner", "left", "right", "full", "left_semi", "left_anti", "cross")
 
 
 def join(left: DataFrame, right: DataFrame, on, how: str = "inner", broadcast_rows: int | None = None) -> DataFrame:
-    """A join. Whether a side is sent to all tasks is the optimizer's choice by its size; broadcast_rows states a proven bound on the right side's rows, and is checked when the join runs."""
+    """A join. Whether a side is sent to all tasks is the optimizer's choice by its size; broadcast_rows states a bound on the right side's rows, and is checked here. A cross join needs such a bound, and is refused beyond it."""
     if how not in HOW:
         raise ValueError(f"Unknown join {how!r}; there are {', '.join(HOW)}")
     if how == "cross":
-        return left.crossJoin(right)
+        if broadcast_rows is None or right.limit(broadcast_rows + 1).count() > broadcast_rows:
+            raise ValueError("a cross join needs a bound on the rows of its right side that holds (broadcast_rows)")
+        return left.crossJoin(F.broadcast(right))
     if broadcast_rows is not None:
         if right.limit(broadcast_rows + 1).count() > broadcast_rows:
             return left.join(right, on, how)

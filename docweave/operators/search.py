@@ -12,10 +12,12 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORD_GAP = "[^a-z]+"
+#: What separates words: all that is no letter, mark or number of any script.
+WORD_GAP = r"[^\p{L}\p{M}\p{N}]+"
 _CLAUSE = re.compile(r"""\s*([+-]?)(?:([A-Za-z_][\w.]*):)?("([^"]*)"|[^\s"]+)""")
 
 
@@ -36,7 +38,7 @@ def parse(query: str) -> list[Clause]:
         at = m.end()
         text = (m[4] if m[4] is not None else m[3]).lower()
         prefix = m[4] is None and text.endswith("*")
-        words = tuple(w for w in re.split(WORD_GAP, text) if w)
+        words = tuple(w for w in regex.split(WORD_GAP, text) if w)
         if not words:
             raise ValueError(f"a clause of {query!r} has no word")
         out.append(Clause(m[1], m[2], words, prefix))
@@ -46,7 +48,7 @@ def parse(query: str) -> list[Clause]:
 
 
 def terms(text: Column) -> Column:
-    """The words of a text: runs of a to z, lowered."""
+    """The words of a text, lowered."""
     return F.split(F.lower(F.coalesce(text, F.lit(""))), WORD_GAP)
 
 

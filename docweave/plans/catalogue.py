@@ -453,6 +453,7 @@ QUERIES = {
     "stream_dedup": _dedup,
     "stream_cdc_schema_full": _cdc_full,
     "search_terms": _search("the", "doc_id", "score"),
+    "search_accents": _search("für", "doc_id", "score"),
     "search_prefix": _search("ou*", "doc_id"),
     "raw_statement": _statement,
     "error_handler_jsonl": _error_handler,
@@ -528,8 +529,9 @@ SQL = {
     "stream_sliding": """SELECT win_start, count(*) AS n FROM (SELECT time_bucket(INTERVAL '6 hours', ts) - INTERVAL '6 hours' * i AS win_start FROM events, range(0,2) r(i)) GROUP BY 1""",
     "stream_session": """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL '2 hours' THEN 0 ELSE 1 END AS nw FROM events), s AS (SELECT user_id, ts, sum(nw) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g) SELECT user_id, min(ts) AS s_start, count(*) AS n FROM s GROUP BY user_id, sid""",
     "stream_dedup": """SELECT DISTINCT user_id, event_type FROM events""",
-    "search_terms": """SELECT doc_id, len(list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda x: x = 'the')) AS score FROM documents WHERE list_contains(string_split_regex(lower(text), '[^a-z]+'), 'the')""",
-    "search_prefix": """SELECT doc_id FROM documents WHERE len(list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda x: starts_with(x,'ou'))) > 0""",
+    "search_accents": """SELECT doc_id, len(list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{M}\\p{N}]+'), lambda x: x = 'für')) AS score FROM documents WHERE list_contains(string_split_regex(lower(text), '[^\\p{L}\\p{M}\\p{N}]+'), 'für')""",
+    "search_terms": """SELECT doc_id, len(list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{M}\\p{N}]+'), lambda x: x = 'the')) AS score FROM documents WHERE list_contains(string_split_regex(lower(text), '[^\\p{L}\\p{M}\\p{N}]+'), 'the')""",
+    "search_prefix": """SELECT doc_id FROM documents WHERE len(list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{M}\\p{N}]+'), lambda x: starts_with(x,'ou'))) > 0""",
     "raw_statement": """SELECT count(*) AS count FROM customer""",
     "profile_analytics": """SELECT CAST(s_suppkey AS VARCHAR) AS __META_ID, s_name FROM supplier""",
     "profile_columnar": """SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier""",

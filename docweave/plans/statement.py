@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,13 +52,18 @@ def run(spark: SparkSession, text: str, tables: dict[str, DataFrame] | None = No
     """
     if keyspace is not None and keyspace.collection is not None:
         raise ValueError("A collection can't be part of a statement's keyspace; name it in the statement")
-    names = {}
-    for name, df in (tables or {}).items():
-        view = f"_statement_{re.sub(r'[^A-Za-z0-9]', '_', name)}_{abs(hash(name)) % 100000}"
-        df.createOrReplaceTempView(view)
+    names, mark = {}, uuid.uuid4().hex
+    for i, (name, df) in enumerate((tables or {}).items()):
+        view = f"_statement_{mark}_{i}"
+        df.createTempView(view)
         names[name] = view
         if keyspace is not None and keyspace.bucket and keyspace.scope:
             prefix = f"{keyspace.bucket}.{keyspace.scope}."
             if name.startswith(prefix):
                 names.setdefault(name[len(prefix) :], view)
-    return spark.sql(translate(text, names))
+    try:
+        # names are resolved here; the views aren't needed after that
+        return spark.sql(translate(text, names))
+    finally:
+        for view in set(names.values()):
+            spark.catalog.dropTempView(view)

@@ -89,7 +89,7 @@ class Settings:
         get = lambda key: self.get(key, identifier)
         root = get("root")
         if not root:
-            raise ConfigError(f"Required config property {PREFIX}root{':' + identifier if identifier else ''} is not present")
+            raise ConfigError(f"The setting {PREFIX}root{':' + identifier if identifier else ''} is needed and not there")
         user, password = get("username"), get("password")
         store = tuple(get(k) for k in ("keyStorePath", "keyStorePassword", "keyStoreType"))
         if (user is None) != (password is None):

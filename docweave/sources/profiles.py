@@ -15,16 +15,14 @@ class Profile:
     cas_column: bool
     partitioned: bool
     writable: bool
-    #: whether a limit is left to the scan alone, shared with Spark, or not pushed
-    limit: str
-    #: whether aggregate push-down can be switched off
+    #: whether there is an option to switch aggregate push-down off (Catalyst decides it, so it makes no difference to results)
     aggregate_switch: bool
 
 
-QUERY = Profile("query", (), True, True, True, True, True, "shared", True)
-ANALYTICS = Profile("analytics", ("dataset",), True, True, False, False, False, "none", True)
-COLUMNAR = Profile("columnar", ("database", "scope", "collection"), False, False, False, False, False, "complete", False)
-ENTERPRISE = Profile("enterprise-analytics", ("database", "scope", "collection"), False, False, False, False, False, "complete", False)
+QUERY = Profile("query", (), True, True, True, True, True, True)
+ANALYTICS = Profile("analytics", ("dataset",), True, True, False, False, False, True)
+COLUMNAR = Profile("columnar", ("database", "scope", "collection"), False, False, False, False, False, False)
+ENTERPRISE = Profile("enterprise-analytics", ("database", "scope", "collection"), False, False, False, False, False, False)
 PROFILES = {p.name: p for p in (QUERY, ANALYTICS, COLUMNAR, ENTERPRISE)}
 CONSISTENCIES = ("notBounded", "requestPlus")
 

@@ -46,15 +46,10 @@ class ReadOptions:
         return Bounds.of(*(self.get(f"partition{k}") for k in ("Column", "LowerBound", "UpperBound", "Count")))
 
 
-def _check(kind: Profile, options: ReadOptions) -> None:
+def _check_keyspace(kind: Profile, options: ReadOptions) -> None:
     missing = [k for k in kind.required if not options.get(k)]
     if missing:
         raise ValueError(f"The {kind.name} profile needs the options {', '.join(kind.required)}; missing: {', '.join(missing)}")
-    if options.bounds() is not None and not kind.partitioned:
-        raise ValueError(f"The {kind.name} profile has no partitioned scan")
-    if not kind.cas_column and options.flag("outputCas", False):
-        raise ValueError(f"The {kind.name} profile has no CAS column")
-
 
 def keyspace_of(spark: SparkSession, kind: Profile, options: ReadOptions) -> tuple[str, Keyspace]:
     """Root folder and keyspace of a scan."""
@@ -98,6 +93,8 @@ def _check_frame(kind: Profile, options: ReadOptions) -> None:
         raise ValueError(f"The {kind.name} profile has no partitioned scan")
     if not kind.cas_column and options.flag("outputCas", False):
         raise ValueError(f"The {kind.name} profile has no CAS column")
+    if options.get("pushDownAggregate") is not None and not kind.aggregate_switch:
+        raise ValueError(f"The {kind.name} profile has no switch for aggregates")
 
 
 def read_collection(source: Collection, kind: str = "query", schema: T.StructType | str | None = None, **values) -> DataFrame:
@@ -138,6 +135,6 @@ def read_collection(source: Collection, kind: str = "query", schema: T.StructTyp
 def read(spark: SparkSession, kind: str = "query", schema: T.StructType | str | None = None, **values) -> DataFrame:
     """A scan of the collection that options and configuration name."""
     p, options = profile(kind), ReadOptions(values)
-    _check(p, options)
+    _check_keyspace(p, options)
     root, keyspace = keyspace_of(spark, p, options)
     return read_collection(Collection(spark, root, keyspace), kind, schema, **values)

@@ -83,3 +83,18 @@ def test_array_operations(spark):
     with pytest.raises(Exception, match="EmptyArray"):
         run("arrayAppend:tags", F.array().cast("array<string>"))
     assert "n" not in run("remove:n", F.lit(1)).asDict()
+
+
+def test_cross_joins_need_a_bound(spark):
+    a, b = spark.range(3), spark.range(4).withColumnRenamed("id", "k")
+    for bound in (None, 3):
+        with pytest.raises(ValueError):
+            relational.join(a, b, None, "cross", bound)
+    assert relational.join(a, b, None, "cross", 4).count() == 12
+
+
+def test_words_of_any_script(spark):
+    texts = spark.createDataFrame([(1, "Grün ist grün; ÜBER-grün"), (2, "gr n"), (3, "梦 über")], "id long, text string")
+    assert {r.id: r.score for r in search.search(texts, "grün").collect()} == {1: 3}
+    assert {r.id: r.score for r in search.search(texts, "über").collect()} == {1: 1, 3: 1}
+    assert {r.id for r in search.search(texts, "梦 gr*").collect()} == {1, 2, 3}

@@ -69,9 +69,9 @@ def test_settings_in_layers():
 
 
 def test_settings_that_contradict():
-    with pytest.raises(ConfigError, match="root is not present"):
+    with pytest.raises(ConfigError, match="root is needed"):
         Settings({}).connection()
-    with pytest.raises(ConfigError, match="root:x is not present"):
+    with pytest.raises(ConfigError, match="root:x is needed"):
         Settings({}).connection("x")
     for extra in ({"username": "u"}, {"password": "p"}, {"keyStorePath": "k"}, {"username": "u", "password": "p", "keyStorePath": "k", "keyStorePassword": "p", "keyStoreType": "t"}, {"authentication": "required"}):
         with pytest.raises(ConfigError):

@@ -117,7 +117,7 @@ def test_configured_scan(spark, store, stored):
 def test_partitioned_scan(spark):
     df = spark.range(0, 1000).select("id", F.when(F.col("id") % 100 == 0, None).otherwise(F.col("id")).alias("k"))
     out = read_frame(df, partitionColumn="k", partitionLowerBound=100, partitionUpperBound=500, partitionCount=10)
-    assert out.rdd.getNumPartitions() >= 10
+    assert out.rdd.getNumPartitions() == df.rdd.getNumPartitions()  # one scan
     assert out.count() == 990  # bounds cut and don't restrict; nulls go
     exact = partition.partitioned(df, partition.Bounds("k", 100, 500, 10), exact=True)
     assert exact.rdd.getNumPartitions() == 10 and exact.count() == 990
