@@ -14,7 +14,7 @@ stand in a window whose words also start earlier in the corpus.
    first window. Every shard that has a passage other than as its first
    occurrence is sent the passage's words and where it occurs first.
 3. Compile automata. Each shard's passages become an Aho-Corasick automaton
-   with one letter for each different word.
+   over the words.
 4. Stream all documents. Each shard streams its documents through its
    automaton. A hit is an occurrence of a passage, word for word; unless it is
    the first one, the words of all the passage's windows are cut out in place.
@@ -48,7 +48,7 @@ from docweave.llm.common import WHITE, WHITE_RUN, delete_path, fresh_path, table
 WINDOW, PHRASE = 20, 8
 SPAN = WINDOW - PHRASE + 1
 #: Rows of a shard, bytes of text that a task holds at a time, and anchors that a task counts.
-ROWS_PER_SHARD, CHUNK_BYTES, ANCHORS_PER_TASK = 4_096, 8 << 20, 1_000_000
+ROWS_PER_SHARD, CHUNK_BYTES, ANCHORS_PER_TASK = 2_048, 4 << 20, 1_000_000
 #: A null id counts as the greatest.
 LAST = (1 << 63) - 1
 
@@ -122,11 +122,6 @@ def _open(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-def letter(k: int) -> str:
-    """The k-th letter, without surrogates."""
-    return chr(k if k < 0xD800 else k + 0x800)
-
-
 def sharded(docs: DataFrame, rows: int = ROWS_PER_SHARD) -> DataFrame:
     """docs with `_shard`: the same for rows that stand together in a file. What doesn't come from such files is written first."""
     place = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / F.lit(rows)))
@@ -280,24 +275,31 @@ def passages(found: DataFrame, tasks: int) -> DataFrame:
 
 
 class Matcher:
-    """The automaton of a shard's passages."""
+    """The automaton of a shard's passages. A word is written as two letters, of two alphabets, so that no node has more than about the root of all words below it."""
 
     def __init__(self, found: pa.Table):
         once = dict(zip(found["words"].to_pylist(), zip(*(found[c].to_pylist() for c in ("doc_id", "place", "length")))))
+        self.facts = np.array(list(once.values()), np.int64).reshape(-1, 3)
+        self.numbers: dict[bytes, int] = {}
+        number = self.numbers.setdefault
+        coded = [[number(w, len(self.numbers)) for w in words.encode().split(b" ")] for words in once]
+        self.base = int(len(self.numbers) ** 0.5) + 1
+        high, low = ([chr(1 + k) for k in range(x, x + self.base)] for x in (0, self.base))
+        spelt = [high[k // self.base] + low[k % self.base] for k in range(len(self.numbers))]
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_STRING)
-        self.letters: dict[bytes, str] = {}
-        for i, words in enumerate(once):
-            self.automaton.add_word("".join([self.letters.setdefault(w, letter(len(self.letters) + 1)) for w in words.encode().split(b" ")]), i)
+        for i, ids in enumerate(coded):
+            self.automaton.add_word("".join([spelt[k] for k in ids]), i)
         self.automaton.make_automaton()
-        self.facts = np.array(list(once.values()), np.int64).reshape(-1, 3)
 
     def occurrences(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Where in a chunk passages begin, and (document and place of the first occurrence, length) of each."""
-        get = self.letters.get
-        alphabet = np.array([ord(get(w, "\0")) for w in chunk.vocabulary], np.uint32)
-        text = alphabet[chunk.codes].tobytes().decode("utf-32-le")
+        get = self.numbers.get
+        known = np.array([get(w, -1) for w in chunk.vocabulary], np.int64)
+        letters = np.where(known >= 0, (1 + known // self.base, 1 + self.base + known % self.base), 0).astype(np.uint32).T
+        text = np.ascontiguousarray(letters)[chunk.codes].tobytes().decode("utf-32-le")
         hits = np.array(list(self.automaton.iter(text)), np.int64).reshape(-1, 2)
-        return hits[:, 0] - (WINDOW - 1), self.facts[hits[:, 1]]
+        # a passage ends with the second letter of a word
+        return hits[:, 0] // 2 - (WINDOW - 1), self.facts[hits[:, 1]]
 
 
 def covered(chunk: Chunk, ids: np.ndarray, matcher: Matcher | None) -> np.ndarray:
@@ -325,6 +327,7 @@ def cut_repeats(docs: DataFrame, folder: str, chunk: int = CHUNK_BYTES) -> DataF
                     matcher = None
                     found = _read_of_shard(folder, shard, [c for c in PASSAGE if c != "_shard"])
                     now, matcher = shard, Matcher(found) if found is not None and found.num_rows else None
+                    del found
                 texts = part["text"].to_pylist()
                 c = Chunk(texts)
                 gone = covered(c, part["_order"].to_numpy(), matcher)
