@@ -93,6 +93,28 @@ def _sets(spark: SparkSession, d: str) -> DataFrame:
     return ag.grouping_sets(read_frame(_t(spark, d, "lineitem")), [["l_returnflag"], ["l_linestatus"]], n=ag.count())
 
 
+def _having(spark: SparkSession, d: str) -> DataFrame:
+    by = ag.aggregate(read_frame(_t(spark, d, "orders")), ["o_custkey"], n=ag.count(), mx=ag.maximum("o_totalprice"))
+    return by.where("n >= 3 and mx > 1000")
+
+
+def _through(form: str, **options):
+    """Rows written as JSON lines or CSV to the shared folder and read again with a schema."""
+
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        rows = _t(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+        path = fresh_path(spark, form)
+        rows.write.format(form).options(**options).save(path)
+        return spark.read.format(form).options(**options).schema(rows.schema).load(path)
+
+    return query
+
+
+def _scalars(spark: SparkSession, d: str) -> DataFrame:
+    c = read_frame(_t(spark, d, "customer"))
+    return c.select("c_custkey", F.upper("c_mktsegment").alias("u"), F.length("c_name").alias("n"), F.round(F.abs("c_acctbal")).alias("r"), F.coalesce(F.nullif("c_nationkey", F.lit(3)), F.lit(-1)).alias("k"))
+
+
 # key/value
 
 
@@ -259,6 +281,19 @@ def _store_changes(spark: SparkSession, d: str) -> DataFrame:
     return changes.groupBy("deletion").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _store_scan(spark: SparkSession, d: str) -> DataFrame:
+    """A scan of stored documents with inferred types, a filter on a field and on the id, and a projection."""
+    docs = _t(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.to_json(F.struct("c_name", "c_acctbal", F.struct("c_nationkey").alias("at"))).alias("body"))
+    out = read_collection(_stored(spark, docs), filter="c_acctbal > 1000 AND at.c_nationkey IN [1, 2, 3] AND META().id LIKE '1%'")
+    return out.select(F.col("__META_ID").cast("long").alias("id"), "c_name")
+
+
+def _store_statement(spark: SparkSession, d: str) -> DataFrame:
+    """A raw statement over a stored collection."""
+    docs = _t(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.to_json(F.struct("c_mktsegment", "c_nationkey")).alias("body"))
+    return statement.run(spark, "SELECT c_mktsegment, count(*) AS n FROM customers WHERE c_nationkey < 10 GROUP BY c_mktsegment", {"customers": read_collection(_stored(spark, docs), "analytics")})
+
+
 def _parts(mode: str, header: str, value: str):
     """A path operation on stored documents, where every third document can't be changed."""
 
@@ -418,6 +453,10 @@ QUERIES = {
     "agg_avg": _agg("lineitem", ["l_returnflag"], a=lambda: ag.mean("l_linenumber"), ad=lambda: ag.mean("l_linenumber", True)),
     "agg_group_by": _agg("orders", ["o_orderstatus", "o_orderpriority"], n=lambda: ag.count(), mx=lambda: ag.maximum("o_orderdate")),
     "agg_not_pushable": _agg("lineitem", ["l_returnflag"], s=lambda: F.sum(F.col("l_linenumber") + 1)),
+    "agg_having": _having,
+    "source_json": _through("json"),
+    "source_csv": _through("csv", header="true"),
+    "scalar_functions": _scalars,
     "distinct": _agg("customer", ["c_nationkey", "c_mktsegment"]),
     "rollup": _grouped("rollup"),
     "cube": _grouped("cube"),
@@ -442,6 +481,8 @@ QUERIES = {
     "kv_subdoc_golden": _kv_subdoc_golden,
     "subdoc_insert": _parts("subdocReplace", "insert:z", "new"),
     "subdoc_replace": _parts("subdocUpsert", "replace:z", "new"),
+    "store_scan": _store_scan,
+    "store_statement": _store_statement,
     "store_upsert": _store_upsert,
     "store_remove": _store_remove,
     "store_insert_ignore": _store_ignore,
@@ -494,6 +535,10 @@ SQL = {
     "agg_avg": """SELECT l_returnflag, avg(l_linenumber) AS a, avg(DISTINCT l_linenumber) AS ad FROM lineitem GROUP BY l_returnflag""",
     "agg_group_by": """SELECT o_orderstatus, o_orderpriority, count(*) AS n, max(o_orderdate) AS mx FROM orders GROUP BY o_orderstatus, o_orderpriority""",
     "agg_not_pushable": """SELECT l_returnflag, CAST(sum(l_linenumber + 1) AS BIGINT) AS s FROM lineitem GROUP BY l_returnflag""",
+    "agg_having": """SELECT o_custkey, count(*) AS n, max(o_totalprice) AS mx FROM orders GROUP BY o_custkey HAVING count(*) >= 3 AND max(o_totalprice) > 1000""",
+    "source_json": """SELECT s_suppkey, s_name, s_nationkey FROM supplier""",
+    "source_csv": """SELECT s_suppkey, s_name, s_nationkey FROM supplier""",
+    "scalar_functions": """SELECT c_custkey, upper(c_mktsegment) AS u, length(c_name) AS n, round(abs(c_acctbal)) AS r, coalesce(nullif(c_nationkey, 3), -1) AS k FROM customer""",
     "distinct": """SELECT DISTINCT c_nationkey, c_mktsegment FROM customer""",
     "rollup": """SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)""",
     "cube": """SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)""",
@@ -517,6 +562,8 @@ SQL = {
     "kv_subdoc_golden": """SELECT 'doc' AS id, '{"counter1":99,"counter2":52,"keepThis":"keep","tags":["tag0","tag1","tag2","tag3"],"moreTags":["tagA","tagB","tagC","tagD"],"nestedJson":{"foo":{"baz":"bux2"}}}' AS body""",
     "subdoc_insert": """SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN '{"name":"' || c_name || '","z":"x"}' ELSE '{"name":"' || c_name || '","z":"new"}' END AS body FROM customer""",
     "subdoc_replace": """SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN '{"name":"' || c_name || '","z":"new"}' ELSE '{"name":"' || c_name || '"}' END AS body FROM customer""",
+    "store_scan": """SELECT c_custkey AS id, c_name FROM customer WHERE c_acctbal > 1000 AND c_nationkey IN (1, 2, 3) AND CAST(c_custkey AS VARCHAR) LIKE '1%'""",
+    "store_statement": """SELECT c_mktsegment, count(*) AS n FROM customer WHERE c_nationkey < 10 GROUP BY c_mktsegment""",
     "store_upsert": """SELECT c_custkey AS id, CASE WHEN c_custkey % 10 = 0 THEN 'upd' ELSE c_name END AS v FROM customer UNION ALL SELECT c_custkey + 10000000, 'new' FROM customer WHERE c_custkey < 10""",
     "store_remove": """SELECT c_custkey AS id, c_name AS v FROM customer WHERE c_custkey % 4 <> 0""",
     "store_insert_ignore": """SELECT c_custkey AS id, c_name AS v FROM customer UNION ALL SELECT c_custkey + 100, 'new' FROM customer WHERE c_custkey < 200 AND c_custkey + 100 NOT IN (SELECT c_custkey FROM customer)""",

@@ -59,3 +59,15 @@ def test_parts(db, spark):
 def test_measures(db):
     df, seen = measured(db.read(collection="airports"))
     assert df.count() == 4 and seen.get["resultCount"] == 4 and seen.get["resultSize"] > 100
+
+
+def test_mutate_in_records(db):
+    where = {"collection": "notes"}
+    db.upsert([kv.Upsert("a", '{"x":{"y":1},"z":[]}'), kv.Upsert("b", "{}")], **where)
+    cas = {r.id: r.cas for r in db.get(["a", "b"], **where).collect()}
+    got = db.mutate_in([kv.MutateIn("a", (("increment", "x.y", 2), ("arrayAppend", "z", {"k": None})), cas["a"])], **where)
+    assert [(r.id, r.status) for r in got.collect()] == [("a", "ok")]
+    assert [r.body for r in db.get(["a"], **where).collect()] == ['{"x":{"y":3},"z":[{"k":null}]}']
+    with pytest.raises(kv.MutationError):
+        db.mutate_in([kv.MutateIn("b", (("upsert", "q", 1),), cas["b"] + 1)], **where)
+    assert db.upsert([], **where).count() == 0 and db.get(["b"], **where).first().body == "{}"
