@@ -77,7 +77,7 @@ def part_operations(spark, rows: list[MutateIn]) -> DataFrame:
     for i, r in enumerate(rows):
         if len(r.specs) > subdoc.MOST_OPERATIONS:
             raise ValueError(f"A maximum of {subdoc.MOST_OPERATIONS} sub-document operations is allowed, {r.id} has {len(r.specs)}")
-        out.append((r.id, r.cas, [(subdoc.parse_header(f"{o}:{p}").operation, p, json.dumps({"v": v})) for o, p, v in r.specs], i))
+        out.append((r.id, r.cas, [(subdoc.parse_header(f"{o}:{p}").operation, p, json.dumps({"v": v}, separators=(",", ":"), ensure_ascii=False)) for o, p, v in r.specs], i))
     return spark.createDataFrame(out, f"id string, cas long, specs {subdoc.SPECS}, ordinal long")
 
 
