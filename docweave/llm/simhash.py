@@ -29,8 +29,8 @@ from docweave.llm.components import connected_components
 
 BITS = 64
 SEED = 42
-#: Fingerprints that an average subtree may have; with more, tries have more blocks on top.
-SUBTREE = 256
+#: Bits that the blocks on top have at least, and fingerprints that an average subtree may have; with more, tries have more blocks on top.
+LEAST_KEY, SUBTREE = 12, 256
 #: Fingerprints of one subtree that one task takes; larger subtrees are cut by up to MOST_CUT further bits.
 PIECE, MOST_CUT = 20_000, 12
 #: Rows of complete subtrees that are traversed at once, and node pairs on one stack entry.
@@ -102,7 +102,7 @@ def key_bits(budget: int, top: int) -> int:
 def blocks_on_top(n: int, budget: int, subtree: int = SUBTREE) -> int:
     """How many blocks the tries of n fingerprints have on top. Any number finds the same links; more of them make more, smaller subtrees."""
     top = 1
-    while top < 4 and budget + top < BITS and n > subtree << key_bits(budget, top):
+    while top < 4 and budget + top < BITS and (key_bits(budget, top) < LEAST_KEY or n > subtree << key_bits(budget, top)):
         top += 1
     return top
 
@@ -244,10 +244,10 @@ def links(nodes: DataFrame, budget: int = 4, subtree: int = SUBTREE, piece: int
     sized = spread.join(large, ["trie", "top"], "left").withColumn("cut", F.coalesce("cut", F.lit(0)))
     masks = F.filter(F.expr("sequence(0, shiftleft(1, cut) - 1)"), lambda m: F.bit_count(m) <= budget)
     mine = F.when(F.col("cut") > 0, F.expr(f"shiftrightunsigned(shiftleft(value, {bits}), {BITS} - cut)")).otherwise(0).cast("int")
-    whole = sized.where("cut = 0").select(*KEYS[:2], F.lit(0).alias("low"), F.lit(0).alias("high"), "cut", "value", "fp")
-    parts = sized.where("cut > 0").withColumn("_p", mine).withColumn("_m", F.explode(masks))
+    # of an uncut subtree there is the one pair (0, 0)
+    paired = sized.withColumn("_p", mine).withColumn("_m", F.explode(masks))
     other = F.col("_p").bitwiseXOR(F.col("_m"))
-    parts = parts.select(*KEYS[:2], F.least("_p", other).alias("low"), F.greatest("_p", other).alias("high"), "cut", "value", "fp")
+    rows = paired.select(*KEYS[:2], F.least("_p", other).alias("low"), F.greatest("_p", other).alias("high"), "cut", "value", "fp")
 
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -267,7 +267,7 @@ def links(nodes: DataFrame, budget: int = 4, subtree: int = SUBTREE, piece: int
             yield _edges(pa.Table.from_batches(held), budget, bits)
 
     # the bits on top are equal within a group, so the signed order is the order of the tries
-    return whole.unionByName(parts).repartition(*KEYS).sortWithinPartitions(*KEYS, "value").mapInArrow(traverse, "a long, b long")
+    return rows.repartition(*KEYS).sortWithinPartitions(*KEYS, "value").mapInArrow(traverse, "a long, b long")
 
 
 def near_groups(docs: DataFrame, shingle: int = 4, budget: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
