@@ -140,9 +140,9 @@ def _parts(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, pa.RecordBat
             yield int(shard[lo]), part
 
 
-def _write_by_shard(rows: DataFrame, folder: str) -> str:
+def _write_by_shard(rows: DataFrame, folder: str, tasks: int) -> str:
     """Writes rows to a folder for each `_shard`."""
-    rows.repartition("_shard").sortWithinPartitions("_shard").write.partitionBy("_shard").parquet(folder)
+    rows.repartition(tasks, "_shard").sortWithinPartitions("_shard").write.partitionBy("_shard").parquet(folder)
     return folder
 
 
@@ -361,9 +361,9 @@ def remove_repeats(docs: DataFrame, rows_per_shard: int = ROWS_PER_SHARD, chunk:
     # words have six bytes on average, and every seventh phrase is an anchor
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = max(1, -(-size // (42 * per_task)))
-    anchors = _write_by_shard(repeated_anchors(keyed, tasks, chunk), fresh_path(spark, "anchors"))
+    anchors = _write_by_shard(repeated_anchors(keyed, tasks, chunk), fresh_path(spark, "anchors"), tasks)
     found = passages(segments(keyed, anchors, chunk), 4 * tasks)
-    folder = _write_by_shard(found, fresh_path(spark, "passages"))
+    folder = _write_by_shard(found, fresh_path(spark, "passages"), 4 * tasks)
     delete_path(spark, anchors.rsplit("/", 1)[0])
     return cut_repeats(rows, folder, chunk)
 

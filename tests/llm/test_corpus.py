@@ -412,7 +412,7 @@ def test_what_is_cut_follows_from_the_hits(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     keyed = repeats.sharded(df, 1_000).coalesce(1)
     root = spark.conf.get("spark.checkpoint.dir") + "/confirmed"
-    anchors = repeats._write_by_shard(repeats.repeated_anchors(keyed, 3), root)
+    anchors = repeats._write_by_shard(repeats.repeated_anchors(keyed, 3), root, 2)
     found = repeats.passages(repeats.segments(keyed, anchors), 3).drop("_shard").distinct().collect()
     texts = [WORD.findall(t) for _, t in rows]
     windows = Counter(tuple(ws[i : i + 20]) for ws in texts for i in range(len(ws) - 19))
