@@ -16,7 +16,7 @@ stand in a window whose words also start earlier in the corpus.
 3. Compile automata. Each shard's passages become an Aho-Corasick automaton
    over the words.
 4. Stream all documents. Each shard streams its documents through its
-   automaton. A hit is an occurrence of a passage, word for word; unless it is
+   automaton; words that none of its passages has are a break. A hit is an occurrence of a passage, word for word; unless it is
    the first one, the words of all the passage's windows are cut out in place.
 
 What is cut follows from the hits alone. A shard is some ROWS_PER_SHARD rows of
@@ -31,6 +31,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import ahocorasick
 import numpy as np
@@ -53,21 +54,39 @@ ROWS_PER_SHARD, CHUNK_BYTES, ANCHORS_PER_TASK = 2_048, 4 << 20, 1_000_000
 LAST = (1 << 63) - 1
 
 
+def _values(array: pa.Array) -> list:
+    """An array without nulls as a list; much faster than to_pylist()."""
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
 class Chunk:
     """The words of some documents as codes, one document after the other, each with a 0 in front that is no word."""
 
-    def __init__(self, texts: list[str]):
-        known: dict[bytes, int] = {b"": 0}
-        code = known.setdefault
-        self.texts = [t.encode().split() for t in texts]
-        parts = [np.fromiter((code(w, len(known)) for w in ws), np.int32, len(ws)) for ws in self.texts]
-        self.vocabulary = list(known)
-        self.sizes = np.array([len(p) for p in parts], dtype=np.int64)
-        gap = np.zeros(1, np.int32)
-        self.codes = np.concatenate([x for p in parts for x in (gap, p)]) if parts else gap[:0]
+    def __init__(self, texts: pa.Array | list[str]):
+        split = pc.ascii_split_whitespace(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        found = split.flatten().dictionary_encode()
+        #: the word of each code; no word has code 0
+        self.vocabulary = pa.concat_arrays([pa.array([""], found.dictionary.type), found.dictionary])
+        numbers = found.indices.to_numpy()
+        # white space at the ends of a text leaves empty parts
+        real = numbers != pc.index(found.dictionary, "").as_py()
+        total = np.concatenate(([0], np.cumsum(real)))
+        ends = split.offsets.to_numpy()
+        self.sizes = np.diff(total[ends - ends[0]])
         #: where each document's words begin, and the document of each code
         self.starts = np.cumsum(self.sizes + 1) - self.sizes
-        self.doc = np.repeat(np.arange(len(parts)), self.sizes + 1)
+        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes + 1)
+        self.codes = np.zeros(len(self.doc), np.int32)
+        is_word = np.ones(len(self.doc), bool)
+        is_word[self.starts - 1] = False
+        self.codes[is_word] = numbers[real] + 1
+
+    def joined(self, begin: np.ndarray, n: np.ndarray) -> pa.Array:
+        """The n codes from each begin on as words with single spaces."""
+        through = np.concatenate(([0], np.cumsum(n)))
+        at = np.arange(through[-1]) + np.repeat(begin - through[:-1], n)
+        words = self.vocabulary.take(pa.array(self.codes[at]))
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(through, pa.int32()), words), " ")
 
     def segments(self) -> dict[str, np.ndarray]:
         """Runs of windows that have the same phrase as their anchor: the anchor's hash, the document, the place of the first window and the number of windows."""
@@ -79,7 +98,7 @@ class Chunk:
         at = np.flatnonzero((inside >= 0) & (inside + WINDOW <= self.sizes[self.doc]))
         if not len(at):
             return none
-        words = np.fromiter(map(xxhash.xxh3_64_intdigest, self.vocabulary), np.uint64, len(self.vocabulary))[self.codes]
+        words = np.fromiter(map(xxhash.xxh3_64_intdigest, _values(self.vocabulary)), np.uint64, len(self.vocabulary))[self.codes]
         # a phrase's hash: a polynomial of its words' hashes, put together from those of 2 and 4 words
         factor, size = np.uint64(0x9E3779B97F4A7C15), 1
         with np.errstate(over="ignore"):
@@ -101,19 +120,26 @@ class Chunk:
         return {"anchor": phrase[anchor[new]].view(np.int64), "doc": self.doc[first], "place": inside[first], "windows": np.diff(np.append(new, len(at)))}
 
 
-def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with about `size` bytes of text each; a longer text is a run of its own. Only a run's texts become Python strings."""
-    through = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False))
+def _runs(lengths: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """Runs (begin, end) of rows with about `size` bytes each; a longer row is a run of its own."""
+    through = np.cumsum(lengths, dtype=np.int64)
     begin = 0
-    while begin < batch.num_rows:
+    while begin < len(through):
         held = through[begin - 1] if begin else 0
         end = max(begin + 1, int(np.searchsorted(through, held + size, "right")))
-        yield batch.slice(begin, end - begin)
+        yield begin, end
         begin = end
 
 
+def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about `size` bytes of text each."""
+    for begin, end in _runs(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False), size):
+        yield batch.slice(begin, end - begin)
+
+
 def _give_back() -> None:
     """Hands freed memory back to the system, where the C library can: workers wait for their next task with what they hold."""
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
@@ -162,7 +188,7 @@ def repeated_anchors(docs: DataFrame, tasks: int, chunk: int = CHUNK_BYTES) -> D
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for shard, part in _parts(b, chunk):
-                anchor, n = np.unique(Chunk(part["text"].to_pylist()).segments()["anchor"], return_counts=True)
+                anchor, n = np.unique(Chunk(part["text"]).segments()["anchor"], return_counts=True)
                 yield pa.RecordBatch.from_pydict({"_shard": np.full(len(anchor), shard), "anchor": anchor, "n": n.astype(np.int32)})
         _give_back()
 
@@ -205,18 +231,22 @@ def segments(docs: DataFrame, anchors: str, chunk: int = CHUNK_BYTES) -> DataFra
                     now, mine = shard, np.zeros(0, np.int64) if found is None else np.unique(found["anchor"].to_numpy())
                 if not len(mine):
                     continue
-                c, ids = Chunk(part["text"].to_pylist()), part["doc_id"].to_pylist()
+                c, ids = Chunk(part["text"]), part["doc_id"].to_numpy()
                 s = c.segments()
                 at = np.minimum(np.searchsorted(mine, s["anchor"]), len(mine) - 1)
                 kept = np.flatnonzero(mine[at] == s["anchor"])
-                seen: dict[bytes, list] = {}
-                for anchor, doc, place, windows in zip(*(s[x][kept].tolist() for x in ("anchor", "doc", "place", "windows"))):
-                    words, first = b" ".join(c.texts[doc][place : place + windows + WINDOW - 1]), (ids[doc], place)
-                    if (x := seen.get(words)) is None:
-                        seen[words] = [anchor, first, 1]
-                    else:
-                        x[1], x[2] = min(x[1], first), x[2] + 1
-                yield _batch([(anchor, shard, *first, n, words.decode()) for words, (anchor, first, n) in seen.items()], SEGMENT)
+                anchor, doc, place = (s[x][kept] for x in ("anchor", "doc", "place"))
+                begin, n = c.starts[doc] + place, s["windows"][kept] + WINDOW - 1
+                through = np.concatenate(([0], np.cumsum(pc.binary_length(c.vocabulary).to_numpy()[c.codes] + 1, dtype=np.int64)))
+                for lo, hi in _runs(through[begin + n] - through[begin], 4 * chunk):
+                    equal = c.joined(begin[lo:hi], n[lo:hi]).dictionary_encode()
+                    group = equal.indices.to_numpy()
+                    order = lo + np.lexsort((place[lo:hi], ids[doc[lo:hi]], group))
+                    # groups are numbered without gaps
+                    count = np.bincount(group)
+                    first = order[np.cumsum(count) - count]
+                    values = (anchor[first], np.full(len(first), shard), ids[doc[first]], place[first], count, equal.dictionary)
+                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values[:-1], SEGMENT.values())] + [values[-1]], list(SEGMENT))
         _give_back()
 
     return docs.select("_shard", "doc_id", "text").mapInArrow(send, "anchor long, _shard long, doc_id long, place int, n long, words string")
@@ -227,31 +257,44 @@ def confirm(rows: list[tuple]) -> list[tuple]:
     wordings: dict[str, list[tuple]] = {}
     for shard, doc, place, n, words in rows:
         wordings.setdefault(words, []).append((shard, doc, place, n))
-    # how often each window occurs, where first, and how often it is followed by its neighbour
-    counts: dict[str, int] = {}
-    first: dict[str, tuple[int, int]] = {}
-    joint: dict[tuple[str, str], int] = {}
-    cut: dict[str, list[str]] = {}
+    if len(wordings) == 1:  # its windows only occur together
+        (words, places), = wordings.items()
+        if sum(x[3] for x in places) < 2:
+            return []
+        start = min((x[1], x[2]) for x in places)
+        window, length = " ".join(words.split(" ", WINDOW)[:WINDOW]), words.count(" ") + 2 - WINDOW
+        return [(shard, window, length, *start) for shard in {x[0] for x in places if x[3] > 1 or (x[1], x[2]) != start}]
+    # windows by number: how often each occurs, where first, and how often it is followed by its neighbour
+    known: dict[str, int] = {}
+    counts: list[int] = []
+    first: list[tuple[int, int]] = []
+    joint: dict[tuple[int, int], int] = {}
+    cut: list[list[int]] = []
     for words, places in wordings.items():
-        ws = words.split(" ")
+        ends = list(accumulate(len(w) + 1 for w in words.split(" ")))
         n, (doc, place) = sum(x[3] for x in places), min((x[1], x[2]) for x in places)
-        cut[words] = windows = [" ".join(ws[i : i + WINDOW]) for i in range(len(ws) - WINDOW + 1)] if len(wordings) > 1 else [" ".join(ws[:WINDOW])]
-        for i, w in enumerate(windows):
-            counts[w] = counts.get(w, 0) + n
-            first[w] = min(first.get(w, (doc, place + i)), (doc, place + i))
-            if i:
-                joint[windows[i - 1], w] = joint.get((windows[i - 1], w), 0) + n
-    out = set()
-    for words, places in wordings.items():
-        windows, i = cut[words], 0
-        whole = len(wordings) == 1 and words.count(" ") + 2 - WINDOW
+        mine: list[int] = []
+        for i, (begin, end) in enumerate(zip([0, *ends], ends[WINDOW - 1 :])):
+            w = known.setdefault(words[begin : end - 1], len(counts))
+            if w == len(counts):
+                counts.append(0)
+                first.append((doc, place + i))
+            counts[w] += n
+            first[w] = min(first[w], (doc, place + i))
+            if mine:
+                joint[mine[-1], w] = joint.get((mine[-1], w), 0) + n
+            mine.append(w)
+        cut.append(mine)
+    names, out = list(known), set()
+    for windows, places in zip(cut, wordings.values()):
+        i = 0
         while i < len(windows):
             w, end = windows[i], i + 1
             while end < len(windows) and counts[windows[end - 1]] == counts[windows[end]] == joint[windows[end - 1], windows[end]]:
                 end += 1
             if counts[w] > 1:
                 # a shard whose only occurrence is the first of all has nothing to cut
-                out |= {(shard, w, whole or end - i, *first[w]) for shard, doc, place, n in places if n > 1 or (doc, place + i) != first[w]}
+                out |= {(shard, names[w], end - i, *first[w]) for shard, doc, place, n in places if n > 1 or (doc, place + i) != first[w]}
             i = end
     return list(out)
 
@@ -263,7 +306,7 @@ def passages(found: DataFrame, tasks: int) -> DataFrame:
         now, held = None, []
         for b in batches:
             out = []
-            for anchor, *row in zip(*(b[c].to_pylist() for c in SEGMENT)):
+            for anchor, *row in zip(*(_values(b[c]) for c in SEGMENT)):
                 if anchor != now:
                     out += confirm(held)
                     now, held = anchor, []
@@ -278,28 +321,35 @@ class Matcher:
     """The automaton of a shard's passages. A word is written as two letters, of two alphabets, so that no node has more than about the root of all words below it."""
 
     def __init__(self, found: pa.Table):
-        once = dict(zip(found["words"].to_pylist(), zip(*(found[c].to_pylist() for c in ("doc_id", "place", "length")))))
-        self.facts = np.array(list(once.values()), np.int64).reshape(-1, 3)
-        self.numbers: dict[bytes, int] = {}
-        number = self.numbers.setdefault
-        coded = [[number(w, len(self.numbers)) for w in words.encode().split(b" ")] for words in once]
-        self.base = int(len(self.numbers) ** 0.5) + 1
-        high, low = ([chr(1 + k) for k in range(x, x + self.base)] for x in (0, self.base))
-        spelt = [high[k // self.base] + low[k % self.base] for k in range(len(self.numbers))]
+        self.facts = np.stack([found[c].to_numpy().astype(np.int64) for c in ("doc_id", "place", "length")], axis=1)
+        coded = pc.split_pattern(found["words"].combine_chunks(), " ").flatten().dictionary_encode()
+        self.words = coded.dictionary
+        self.base = int(len(self.words) ** 0.5) + 1
+        text, size = self._spelt(coded.indices.to_numpy()), 2 * WINDOW
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_STRING)
-        for i, ids in enumerate(coded):
-            self.automaton.add_word("".join([spelt[k] for k in ids]), i)
+        for i in range(found.num_rows):
+            self.automaton.add_word(text[i * size : (i + 1) * size], i)
         self.automaton.make_automaton()
 
+    def _spelt(self, numbers: np.ndarray) -> str:
+        """Words by number, as two letters each; -1 is any word that no passage has."""
+        letters = np.where(numbers >= 0, (1 + numbers // self.base, 1 + self.base + numbers % self.base), 0)
+        return letters.T.astype("<u4").tobytes().decode("utf-32-le")
+
     def occurrences(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Where in a chunk passages begin, and (document and place of the first occurrence, length) of each."""
-        get = self.numbers.get
-        known = np.array([get(w, -1) for w in chunk.vocabulary], np.int64)
-        letters = np.where(known >= 0, (1 + known // self.base, 1 + self.base + known % self.base), 0).astype(np.uint32).T
-        text = np.ascontiguousarray(letters)[chunk.codes].tobytes().decode("utf-32-le")
-        hits = np.array(list(self.automaton.iter(text)), np.int64).reshape(-1, 2)
+        number = pc.fill_null(pc.index_in(chunk.vocabulary, value_set=self.words), -1).to_numpy()[chunk.codes]
+        # words that no passage has break the text, as do the gaps between documents; what is shorter than a passage goes into the break
+        edges = np.flatnonzero(np.diff(number >= 0, prepend=False, append=False))
+        begin, end = edges[::2], edges[1::2]
+        whole = end - begin >= WINDOW
+        size = 1 + end[whole] - begin[whole]
+        through = np.cumsum(size)
+        # each stretch with the break in front of it
+        at = np.arange(size.sum()) + np.repeat(begin[whole] - 1 - (through - size), size)
+        hits = np.fromiter(chain.from_iterable(self.automaton.iter(self._spelt(number[at]))), np.int64).reshape(-1, 2)
         # a passage ends with the second letter of a word
-        return hits[:, 0] // 2 - (WINDOW - 1), self.facts[hits[:, 1]]
+        return at[hits[:, 0] // 2] - (WINDOW - 1), self.facts[hits[:, 1]]
 
 
 def covered(chunk: Chunk, ids: np.ndarray, matcher: Matcher | None) -> np.ndarray:
@@ -328,8 +378,8 @@ def cut_repeats(docs: DataFrame, folder: str, chunk: int = CHUNK_BYTES) -> DataF
                     found = _read_of_shard(folder, shard, [c for c in PASSAGE if c != "_shard"])
                     now, matcher = shard, Matcher(found) if found is not None and found.num_rows else None
                     del found
-                texts = part["text"].to_pylist()
-                c = Chunk(texts)
+                texts = _values(part["text"])
+                c = Chunk(part["text"])
                 gone = covered(c, part["_order"].to_numpy(), matcher)
                 total = np.concatenate(([0], np.cumsum(gone)))
                 removed = total[c.starts + c.sizes] - total[c.starts]
